@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 __all__ = [
-    "epoch_millis", "epoch_seconds", "ntz_from_millis", "ltz_from_millis",
+    "epoch_millis", "epoch_seconds", "ntz_from_millis", "ltz_from_millis", "ltz_to_ntz",
     "truncated_int", "duration_seconds",
 ]
 
@@ -38,9 +38,18 @@ def epoch_seconds(ts) -> Column:
     return _floor_div(_micros(ts), 1000000)
 
 
+def _epoch_ntz() -> Column:
+    return F.expr(_EPOCH_NTZ)
+
+
 def ntz_from_millis(ms) -> Column:
     """Epoch milliseconds -> zone-less timestamp (the stored ``date`` of a result)."""
-    return F.expr(f"timestampadd(MILLISECOND, {_sql(ms)}, {_EPOCH_NTZ})")
+    return F.timestamp_add("MILLISECOND", _col(ms), _epoch_ntz())
+
+
+def ltz_to_ntz(ts) -> Column:
+    """Instant (TIMESTAMP) -> zone-less UTC wall time, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), _epoch_ntz())
 
 
 def ltz_from_millis(ms) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from adpulse.functions.columns import duration_seconds, ntz_from_millis
+from adpulse.functions.columns import duration_seconds, ltz_to_ntz, ntz_from_millis
 from adpulse.functions.constants import BID_SUM_TYPE, HLL_LG_K
 
 KEYS = ("publisher", "geo")
@@ -73,10 +73,16 @@ def merge_partials(partials: DataFrame, window: str, slide: str | None = None,
             .select("window", *keys, "first_ts", "sum_bids", "imps", "uniques_sketch"))
 
 
-def _ntz(c: Column, df: DataFrame, field: str) -> Column:
-    """Window bounds are zone-less in results (streams window on instants)."""
-    is_ltz = isinstance(df.schema["window"].dataType[field].dataType, TimestampType)
-    return c.cast("timestamp_ntz") if is_ltz else c
+def window_bounds(df: DataFrame) -> list[Column]:
+    """``window_start`` and ``window_end`` of a ``window`` struct, zone-less
+    (streams window on instants; results are UTC wall times)."""
+    out = []
+    for field, name in (("start", "window_start"), ("end", "window_end")):
+        c = F.col(f"window.{field}")
+        if isinstance(df.schema["window"].dataType[field].dataType, TimestampType):
+            c = ltz_to_ntz(c)
+        out.append(c.alias(name))
+    return out
 
 
 def finalise(partials: DataFrame, keys=KEYS) -> DataFrame:
@@ -87,8 +93,7 @@ def finalise(partials: DataFrame, keys=KEYS) -> DataFrame:
     averages); ``uniques`` is the sketch estimate.
     """
     return partials.select(
-        _ntz(F.col("window.start"), partials, "start").alias("window_start"),
-        _ntz(F.col("window.end"), partials, "end").alias("window_end"),
+        *window_bounds(partials),
         *keys,
         ntz_from_millis("first_ts").alias("date"),
         F.col("imps"),

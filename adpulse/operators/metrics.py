@@ -56,6 +56,10 @@ def geo_bid_share_wide(results: DataFrame, geos: Sequence[str] = CHART_GEO_ORDER
     function, so it also runs on a stream."""
     sums = [F.sum(F.when(F.col("geo") == g, F.col("avg_bids"))).alias(f"_s_{g}") for g in geos]
     agg = results.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *sums)
+    if list(by) == ["window"]:  # grouped on the window struct (streams)
+        from adpulse.operators.aggregate import window_bounds
+        agg = agg.select(*window_bounds(agg), "_n", *[f"_s_{g}" for g in geos])
+        by = WINDOW_COLS
     return agg.select(*by, epoch_seconds("window_end").alias("ts"),
                       *[truncated_int(F.coalesce(F.col(f"_s_{g}"), F.lit(0.0)) * 100 / F.col("_n")).alias(g)
                         for g in geos])

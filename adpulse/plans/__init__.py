@@ -1,4 +1,7 @@
-from adpulse.plans.catalog import QUERIES, FLAGSHIP
+from adpulse.plans.catalog import FLAGSHIP, QUERIES as BATCH_QUERIES
+from adpulse.plans.streams import STREAM_QUERIES
 from adpulse.plans.oracle import ORACLE_SQL
 
-__all__ = ["QUERIES", "FLAGSHIP", "ORACLE_SQL"]
+QUERIES = {**BATCH_QUERIES, **STREAM_QUERIES}
+
+__all__ = ["QUERIES", "BATCH_QUERIES", "STREAM_QUERIES", "FLAGSHIP", "ORACLE_SQL"]
