@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.functions.columns import epoch_millis, epoch_seconds
+from adpulse.session import materialize
 from adpulse.functions.constants import (CHART_GEO_ORDER, TARGET_PUB_GEO_COUNT,
                                          TARGET_RAW_COUNT, TARGET_STORED_COUNT,
                                          TEST_COARSE_WINDOW, TEST_FINE_WINDOW)
@@ -31,8 +32,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # -- shared building blocks -----------------------------------------------------------
 
-def impressions(spark: SparkSession, base: str, key: bool = False) -> DataFrame:
-    return impressions_from_events(read_table(spark, base, "events"), key=key)
+def impressions(spark: SparkSession, base: str, key: bool = False, spread: bool = False) -> DataFrame:
+    """Impressions of the whole ``events`` table. ``spread`` for JSON-heavy
+    per-row work (see ``read_table``); aggregations do not need it, their
+    partial aggregate runs right after the scan."""
+    return impressions_from_events(read_table(spark, base, "events", spread=spread), key=key)
 
 
 def fine_partials(spark: SparkSession, base: str) -> DataFrame:
@@ -51,7 +55,7 @@ def coarse_results(spark: SparkSession, base: str) -> DataFrame:
 
 def q_decode_encode_roundtrip(spark, base):
     """Records -> JSON messages -> strict decode: all seven typed fields back."""
-    msgs = codec.encode_messages(impressions(spark, base))
+    msgs = codec.encode_messages(impressions(spark, base, spread=True))
     return codec.decode_strict(msgs)
 
 
@@ -59,7 +63,7 @@ def damaged_messages(spark, base) -> DataFrame:
     """Messages of ``error`` events are sent damaged, in one of four ways
     picked by event id: not JSON, two fields missing, a string timestamp, a
     string bid. All other messages are well formed. One scan, no join."""
-    ev = read_table(spark, base, "events")
+    ev = read_table(spark, base, "events", spread=True)
     from adpulse.sources.impressions import impression_columns
     imp = ev.select(F.col("event_id").cast("string").alias("key"), "event_type", "event_id",
                     *impression_columns())
@@ -161,21 +165,28 @@ def q_point_ceiling(spark, base):
 
 def metric_series(spark, base) -> DataFrame:
     """Counter metrics as (key, window_end, value): messages per fine window,
-    groups per fine window, rows stored per coarse window."""
-    raw = (impressions(spark, base)
-           .groupBy(F.window(agg.event_time(None), FINE).alias("w"))
-           .agg(F.count(F.lit(1)).alias("value"))
-           .select(F.lit(TARGET_RAW_COUNT).alias("key"), F.col("w.end").alias("window_end"), "value"))
-    groups = met.group_count(fine_results(spark, base)).select(
-        F.lit(TARGET_PUB_GEO_COUNT).alias("key"), "window_end", F.col("pub_geo_count").alias("value"))
-    stored = met.group_count(coarse_results(spark, base)).select(
-        F.lit(TARGET_STORED_COUNT).alias("key"), "window_end", F.col("pub_geo_count").alias("value"))
-    return raw.unionByName(groups).unionByName(stored)
+    (publisher, geo) groups per fine window, rows stored per coarse window.
+
+    All three come from one count per (publisher, geo, fine window) over all
+    impressions; the branches share its exchange, so events are scanned once.
+    """
+    per_group = (impressions(spark, base)
+                 .groupBy("publisher", "geo", F.window(agg.event_time(None), FINE).alias("window"))
+                 .agg(F.count(F.lit(1)).alias("n")))
+    known = per_group.where(F.col("geo") != "unknown")
+    raw = per_group.groupBy(F.col("window.end").alias("window_end")).agg(F.sum("n").alias("value"))
+    groups = known.groupBy(F.col("window.end").alias("window_end")).agg(F.count(F.lit(1)).alias("value"))
+    stored = (known.groupBy("publisher", "geo", F.window(F.window_time("window"), COARSE).alias("c"))
+              .agg(F.count(F.lit(1)).alias("_g"))
+              .groupBy(F.col("c.end").alias("window_end")).agg(F.count(F.lit(1)).alias("value")))
+    return (raw.select(F.lit(TARGET_RAW_COUNT).alias("key"), "window_end", "value")
+            .unionByName(groups.select(F.lit(TARGET_PUB_GEO_COUNT).alias("key"), "window_end", "value"))
+            .unionByName(stored.select(F.lit(TARGET_STORED_COUNT).alias("key"), "window_end", "value")))
 
 
 def q_running_totals(spark, base):
-    return met.running_total(metric_series(spark, base), ["key"], "window_end", "value",
-                             met.day_bucket("window_end"))
+    series = materialize(metric_series(spark, base))  # read twice by running_total
+    return met.running_total(series, ["key"], "window_end", "value", met.day_bucket("window_end"))
 
 
 def q_latest_n(spark, base):
@@ -195,7 +206,10 @@ def q_ingest_counter(spark, base):
 
 
 def q_metric_envelope(spark, base):
-    return met.metric_envelope(fine_results(spark, base), stored=coarse_results(spark, base),
+    # the fine partials feed five metrics: computed once, then read back
+    partials = materialize(fine_partials(spark, base))
+    return met.metric_envelope(agg.finalise(partials),
+                               stored=agg.finalise(agg.merge_partials(partials, COARSE, fine_window=FINE)),
                                ingest=met.ingest_counter(impressions(spark, base), FINE))
 
 

@@ -21,7 +21,7 @@ LATE_ORDER = (0, 2, 3, 4, 1)  # slice 1 arrives last: behind the watermark
 
 
 def messages(spark: SparkSession, base: str) -> DataFrame:
-    return codec.encode_messages(impressions(spark, base), keep=("timestamp",))
+    return codec.encode_messages(impressions(spark, base, spread=True), keep=("timestamp",))
 
 
 def _fine(src: DataFrame) -> DataFrame:

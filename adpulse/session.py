@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 # RocksDB state store so streaming state lives off-heap and scales with keys.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -61,3 +63,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
     return f"{base.rstrip('/')}/adpulse/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it
+    back (reliable ``checkpoint``, so it survives executor loss). Used for small
+    intermediates that several branches of one query read, so the raw scan
+    and shuffle behind them run once."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        work_dir(df.sparkSession, "checkpoint")  # registers a folder when unset (tests)
+    return df.checkpoint(eager=True)

@@ -29,22 +29,38 @@ def _missing(parsed: Column) -> Column:
     return F.array_compact(F.array(*[F.when(parsed[f].isNull(), F.lit(f)) for f in IMPRESSION_FIELDS]))
 
 
+def _parse_once(messages: DataFrame, parsed: Column, keep: tuple[str, ...]) -> DataFrame:
+    """Project the parsed struct as ``_m`` through a one-element ``explode``.
+
+    A generated column is a barrier for the optimizer: field accesses and
+    filters on ``_m`` are not inlined back into ``from_json`` (which would
+    parse the message once per reference), so every message is parsed once.
+    """
+    return messages.select(*keep, F.col(VALUE_ALIAS), F.explode(F.array(parsed)).alias("_m"))
+
+
+VALUE_ALIAS = "_value"
+
+
 def decode_strict(messages: DataFrame, value_col: str = "value",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode every message or fail the query.
 
-    The check wraps the parsed struct itself, so the JSON is parsed once and
-    the check cannot be pruned away while any field is used downstream.
+    The null check sits in the same projection as the fields, so it cannot
+    be pruned away while any field is used downstream.
     """
-    parsed = F.from_json(F.col(value_col), IMPRESSION_DDL, {"mode": "FAILFAST"})
-    missing = _missing(parsed)
+    src = messages.withColumnRenamed(value_col, VALUE_ALIAS) if value_col != VALUE_ALIAS else messages
+    parsed = F.from_json(F.col(VALUE_ALIAS), IMPRESSION_DDL, {"mode": "FAILFAST"})
+    out = _parse_once(src, parsed, keep)
+    m = F.col("_m")
+    missing = _missing(m)
     checked = F.when(
         F.size(missing) > 0,
         F.raise_error(F.concat(F.lit("malformed impression, missing fields: "),
                                F.array_join(missing, ","), F.lit(" in "),
-                               F.coalesce(F.col(value_col), F.lit("null")))),
-    ).otherwise(parsed)
-    return messages.select(*keep, checked.alias("_m")).select(*keep, *[f"_m.{f}" for f in IMPRESSION_FIELDS])
+                               F.coalesce(F.col(VALUE_ALIAS), F.lit("null")))),
+    ).otherwise(m)
+    return out.select(*keep, checked.alias("_c")).select(*keep, *[f"_c.{f}" for f in IMPRESSION_FIELDS])
 
 
 def decode_permissive(messages: DataFrame, value_col: str = "value",
@@ -54,9 +70,10 @@ def decode_permissive(messages: DataFrame, value_col: str = "value",
     reason: ``unparseable`` (no field could be read), ``invalid:<fields>``
     (wrong JSON types; listed fields are null), ``missing:<fields>``.
     """
-    parsed = F.from_json(F.col(value_col), f"{IMPRESSION_DDL}, {CORRUPT_COL} STRING",
+    src = messages.withColumnRenamed(value_col, VALUE_ALIAS) if value_col != VALUE_ALIAS else messages
+    parsed = F.from_json(F.col(VALUE_ALIAS), f"{IMPRESSION_DDL}, {CORRUPT_COL} STRING",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    out = messages.select(*keep, parsed.alias("_m"))
+    out = _parse_once(src, parsed, keep)
     m = F.col("_m")
     missing = _missing(m)
     corrupt = m[CORRUPT_COL].isNotNull()

@@ -27,7 +27,7 @@ from adpulse.sources import codec
 from adpulse.sources.impressions import known_geo
 from adpulse.sources.sinks import batch_writer
 from adpulse.streaming.sources import message_stream
-from adpulse.streaming.staging import append_slice, stage_slices, time_slices
+from adpulse.streaming.staging import append_slice, slice_sizes, stage_slices, time_slices
 
 
 def impression_stream(messages: DataFrame, strict: bool = True, time_mode: str = "event",
@@ -77,28 +77,48 @@ def table_writer(path: str, fmt: str = "parquet"):
 def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
                build: Callable[[DataFrame], DataFrame], folder: str,
                order: Sequence[int] | None = None, writer=None,
-               output_mode: str = "append", sink: str | None = None) -> tuple[str, list]:
+               output_mode: str = "append", sink: str | None = None,
+               restart_each_slice: bool = False) -> tuple[str, list]:
     """Replay ``messages`` (``value`` + epoch-ms ``timestamp``) as a stream.
 
-    The messages are cut into ``n_slices`` event-time slices; for each slice
-    in ``order`` the slice is appended to the stream folder and the query is
-    (re)started from its checkpoint with ``availableNow`` until it has
-    processed everything - each run is a restart from the checkpoint, as
-    after a driver failure. Returns the sink path and all progress reports.
+    The messages are cut into ``n_slices`` event-time slices and appended to
+    the stream folder in ``order``, slice by slice, each as exactly F files
+    (F = default parallelism). The file source takes files oldest first, so
+    one ``availableNow`` run with ``maxFilesPerTrigger = F`` processes one
+    slice per micro-batch: the watermark advances between slices as it would
+    between broker batches.
+
+    ``restart_each_slice=True`` (or a slice smaller than F) appends one slice
+    at a time and restarts the query from its checkpoint after each, as after
+    a driver failure. Returns the sink path and all progress reports.
     """
     sink = sink or f"{folder}/sink"
     staged = stage_slices(messages, time_slices(messages, "timestamp", n_slices), folder)
     stream_dir, checkpoint = f"{folder}/stream", f"{folder}/checkpoint"
+    seq = list(order) if order is not None else list(range(n_slices))
+    files = spark.sparkContext.defaultParallelism
+    sizes = slice_sizes(spark, staged)
+    aligned = all(sizes.get(k, 0) >= files for k in seq)
     progress: list = []
-    for k in (order if order is not None else range(n_slices)):
-        append_slice(spark, staged, k, stream_dir)
-        out = build(message_stream(spark, "text", stream_dir))
+
+    def run(options: dict) -> None:
+        out = build(message_stream(spark, "text", stream_dir, options=options))
         query = (out.writeStream.outputMode(output_mode)
                  .option("checkpointLocation", checkpoint)
                  .foreachBatch(writer or batch_writer(sink))
                  .trigger(availableNow=True).start())
         query.awaitTermination()
         progress.extend(query.recentProgress)
+
+    if restart_each_slice or not aligned:
+        for k in seq:
+            if sizes.get(k, 0):
+                append_slice(spark, staged, k, stream_dir)
+                run({})
+    else:
+        for k in seq:
+            append_slice(spark, staged, k, stream_dir, files=files)
+        run({"maxFilesPerTrigger": str(files)})
     return sink, progress
 
 

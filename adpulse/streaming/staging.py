@@ -29,10 +29,20 @@ def stage_slices(messages: DataFrame, slice_col: Column, folder: str) -> str:
     return path
 
 
-def append_slice(spark, staged: str, k: int, stream_folder: str) -> None:
-    """Append slice ``k`` to the stream folder as new text files."""
-    spark.read.parquet(staged).where(F.col("slice") == k).select("value") \
-        .write.mode("append").text(stream_folder)
+def slice_sizes(spark, staged: str) -> dict[int, int]:
+    """Rows per slice (one row per slice comes back to the driver)."""
+    return {r["slice"]: r["n"] for r in
+            spark.read.parquet(staged).groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def append_slice(spark, staged: str, k: int, stream_folder: str, files: int | None = None) -> None:
+    """Append slice ``k`` to the stream folder as new text files; with
+    ``files`` the rows are dealt round-robin into exactly that many files
+    (when the slice has at least that many rows)."""
+    df = spark.read.parquet(staged).where(F.col("slice") == k).select("value")
+    if files:
+        df = df.repartition(files)
+    df.write.mode("append").text(stream_folder)
 
 
 def stage_order(n: int, order: Sequence[int] | None = None) -> list[int]:
