@@ -235,6 +235,29 @@ def q_sink_timestamp_codec(spark, base):
             .withColumn("date_back", ntz_from_millis("date_ms")))
 
 
+def _store_fine_results(spark, base) -> str:
+    """Write the fine results to the store (dates as epoch ms, partitioned by
+    window date) twice - a rerun of the same job - and return the path."""
+    from adpulse.session import work_dir
+    from adpulse.sources.sinks import encode_dates, write_results
+    path = work_dir(spark, "store") + "/results"
+    stored = encode_dates(materialize(fine_results(spark, base)))
+    write_results(stored, path)
+    write_results(stored, path)  # idempotent: replaces the same window dates
+    return path
+
+
+def q_stored_results(spark, base):
+    """Rows read back from the store, dates decoded."""
+    from adpulse.sources.sinks import decode_dates
+    return decode_dates(spark.read.parquet(_store_fine_results(spark, base)).drop("window_date"))
+
+
+def q_stored_count(spark, base):
+    from adpulse.sources.sinks import stored_count
+    return stored_count(spark, _store_fine_results(spark, base))
+
+
 QUERIES: dict[str, Query] = {
     "fine_window_agg": q_fine_window_agg,
     "coarse_from_fine": q_coarse_from_fine,
@@ -261,6 +284,8 @@ QUERIES: dict[str, Query] = {
     "route_by_target": q_route_by_target,
     "storage_ratio": q_storage_ratio,
     "sink_timestamp_codec": q_sink_timestamp_codec,
+    "stored_results": q_stored_results,
+    "stored_count": q_stored_count,
 }
 
 FLAGSHIP = "fine_window_agg"

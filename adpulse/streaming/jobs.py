@@ -132,3 +132,42 @@ def rows_dropped_by_watermark(progress: list) -> int:
             total += (op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict)
                       else op.numRowsDroppedByWatermark)
     return total
+
+
+def metrics_writer(path: str):
+    """``foreachBatch`` for the dashboard: the batch's closed fine windows ->
+    metric envelope rows (group counts, per-geo impressions, bid shares),
+    computed on the executors and written under ``batch_id=<n>``."""
+    write = batch_writer(path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(met.metric_envelope(batch), batch_id)
+    return run
+
+
+def start_impression_job(spark: SparkSession, messages: DataFrame, store: str, metrics: str,
+                         checkpoint_root: str, fine_window: str, coarse_window: str,
+                         trigger: dict | None = None, time_mode: str = "event",
+                         delay: str = "0 seconds", strict: bool = True) -> list:
+    """Start the whole reference job on a message stream (Kafka or files):
+
+    * query ``ui``: fine windows -> dashboard metrics per micro-batch;
+    * query ``store``: coarse windows merged from the fine partials -> the
+      result store, with rows written per batch recorded in ``store_counts``.
+
+    Two queries on one source, each with its own checkpoint, so either can
+    fail and restart alone. ``trigger`` defaults to the 1-second micro-batch.
+    Returns the started queries (``stop()`` each to end the job).
+    """
+    trigger = trigger or {"processingTime": "1 second"}
+    imps = impression_stream(messages, strict=strict, time_mode=time_mode, delay=delay)
+    fine = fine_stream(imps, fine_window)
+    ui = (agg.finalise(fine).writeStream.queryName("ui").outputMode("append")
+          .option("checkpointLocation", f"{checkpoint_root}/ui")
+          .foreachBatch(metrics_writer(metrics)).trigger(**trigger).start())
+    stored = (agg.finalise(coarse_stream(fine, coarse_window, fine_window))
+              .writeStream.queryName("store").outputMode("append")
+              .option("checkpointLocation", f"{checkpoint_root}/store")
+              .foreachBatch(batch_writer(store, counts_path=f"{store}_counts"))
+              .trigger(**trigger).start())
+    return [ui, stored]

@@ -86,3 +86,22 @@ def test_kafka_source_is_optional(spark):
         message_stream(spark, "kafka", servers="127.0.0.1:1", topic="t")
     except Exception as e:  # connector jar absent in this image
         assert "kafka" in str(e).lower()
+
+
+def test_whole_job_two_queries(spark):
+    from adpulse.streaming.sources import message_stream
+    folder = work_dir(spark, "t-job")
+    msgs = streams.messages(spark, SF_SMALL)
+    msgs.select("value").write.text(f"{folder}/in")
+    store, metrics_path = f"{folder}/store", f"{folder}/metrics"
+    qs = jobs.start_impression_job(spark, message_stream(spark, "text", f"{folder}/in"), store,
+                                   metrics_path, f"{folder}/ckpt", FINE, COARSE,
+                                   trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination()
+    got = spark.read.parquet(store).drop("batch_id")
+    assert rows(got, *COLS) == rows(_closed_batch(spark, COARSE), *COLS)
+    counted = spark.read.parquet(f"{store}_counts").agg(F.sum("rows")).first()[0]
+    assert counted == got.count()
+    targets = {r["target"] for r in spark.read.parquet(metrics_path).select("target").distinct().collect()}
+    assert targets == {"pubGeoCount", "geoImpsCounts", "geoAvgBids"}
