@@ -30,8 +30,9 @@ def main() -> None:
     from adpulse.plans import QUERIES
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
-    # warm-up: JVM, code paths and parquet footers, on the smallest tables
-    QUERIES["fine_window_agg"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+    # warm-up: JVM, JIT and generated code of every query, on the smallest tables
+    for name in names:
+        QUERIES[name](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
 
     times = {}
     for name in names:
