@@ -78,7 +78,8 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
                build: Callable[[DataFrame], DataFrame], folder: str,
                order: Sequence[int] | None = None, writer=None,
                output_mode: str = "append", sink: str | None = None,
-               restart_each_slice: bool = False) -> tuple[str, list]:
+               restart_each_slice: bool = False,
+               state_partitions: int | None = None) -> tuple[str, list]:
     """Replay ``messages`` (``value`` + epoch-ms ``timestamp``) as a stream.
 
     The messages are cut into ``n_slices`` event-time slices and appended to
@@ -91,6 +92,11 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
     ``restart_each_slice=True`` (or a slice smaller than F) appends one slice
     at a time and restarts the query from its checkpoint after each, as after
     a driver failure. Returns the sink path and all progress reports.
+
+    ``state_partitions`` (default: the cluster's parallelism) is the number of
+    partitions of the stateful operators; it is fixed in the checkpoint when
+    the query first starts, so it is set only around that start and the
+    session's own ``spark.sql.shuffle.partitions`` is restored afterwards.
     """
     sink = sink or f"{folder}/sink"
     staged = stage_slices(messages, time_slices(messages, "timestamp", n_slices), folder)
@@ -101,13 +107,20 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
     aligned = all(sizes.get(k, 0) >= files for k in seq)
     progress: list = []
 
+    parts = str(state_partitions or spark.sparkContext.defaultParallelism)
+
     def run(options: dict) -> None:
         out = build(message_stream(spark, "text", stream_dir, options=options))
-        query = (out.writeStream.outputMode(output_mode)
-                 .option("checkpointLocation", checkpoint)
-                 .foreachBatch(writer or batch_writer(sink))
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
+        saved = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            query = (out.writeStream.outputMode(output_mode)
+                     .option("checkpointLocation", checkpoint)
+                     .foreachBatch(writer or batch_writer(sink))
+                     .trigger(availableNow=True).start())
+            query.awaitTermination()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", saved)
         progress.extend(query.recentProgress)
 
     if restart_each_slice or not aligned:
