@@ -157,6 +157,11 @@ def ingest_counter(impressions: DataFrame, window: str, step: int = INGEST_REPOR
                   .agg(F.count(F.lit(1)).alias("messages"))
                   .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                           "messages"))
+    return ingest_reports(per_window, step)
+
+
+def ingest_reports(per_window: DataFrame, step: int = INGEST_REPORT_STEP) -> DataFrame:
+    """(window_start, window_end, messages) -> running total and step reports."""
     totals = running_total(per_window, [], "window_start", "messages",
                            day_bucket("window_start"), out="cumulative")
     reported = F.floor(F.col("cumulative") / step) * step
@@ -224,14 +229,17 @@ def route_by_target(envelope: DataFrame,
     * anything else -> one row with handled = false (the reject output).
     """
     t = F.col("target")
+    # each payload is parsed once: the parsed point passes a one-element explode
+    point = F.when(t == TARGET_GEO_AVG_BIDS, F.from_json("data", _POINT))
+    parsed = envelope.select("target", "ts", "data", F.explode(F.array(point)).alias("_pt"))
     one = F.array(F.struct(t.alias("key"), F.col("data").cast("bigint").alias("count")))
     pairs = (F.when(t.isin(*counters), one)
              .when(t == TARGET_GEO_IMPS, F.from_json("data", _PAIRS))
-             .when(t == TARGET_GEO_AVG_BIDS, F.from_json("data", _POINT)["data"]))
-    stamp = F.when(t == TARGET_GEO_AVG_BIDS, F.from_json("data", _POINT)["ts"]).otherwise(F.col("ts"))
+             .when(t == TARGET_GEO_AVG_BIDS, F.col("_pt.data")))
+    stamp = F.when(t == TARGET_GEO_AVG_BIDS, F.col("_pt.ts")).otherwise(F.col("ts"))
     handled = t.isin(*counters, TARGET_GEO_IMPS, TARGET_GEO_AVG_BIDS)
-    return (envelope.select("target", stamp.alias("ts"), handled.alias("handled"),
-                            F.explode_outer(pairs).alias("_p"))
+    return (parsed.select("target", stamp.alias("ts"), handled.alias("handled"),
+                          F.explode_outer(pairs).alias("_p"))
             .select("target", "ts", F.col("_p.key").alias("key"),
                     F.col("_p.count").alias("value"), "handled"))
 

@@ -206,11 +206,15 @@ def q_ingest_counter(spark, base):
 
 
 def q_metric_envelope(spark, base):
-    # the fine partials feed five metrics: computed once, then read back
-    partials = materialize(fine_partials(spark, base))
-    return met.metric_envelope(agg.finalise(partials),
-                               stored=agg.finalise(agg.merge_partials(partials, COARSE, fine_window=FINE)),
-                               ingest=met.ingest_counter(impressions(spark, base), FINE))
+    # fine partials over all geos feed all five metrics: events are scanned
+    # once, the partials are written once and read back by each branch
+    every = materialize(agg.fine_partials(impressions(spark, base), FINE))
+    known = every.where(F.col("geo") != "unknown")
+    per_window = (every.groupBy("window").agg(F.sum("imps").alias("messages"))
+                  .select(*agg.window_bounds(every), "messages"))
+    return met.metric_envelope(agg.finalise(known),
+                               stored=agg.finalise(agg.merge_partials(known, COARSE, fine_window=FINE)),
+                               ingest=met.ingest_reports(per_window))
 
 
 def q_route_by_target(spark, base):
