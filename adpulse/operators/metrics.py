@@ -173,43 +173,54 @@ def ingest_reports(per_window: DataFrame, step: int = INGEST_REPORT_STEP) -> Dat
 
 # -- envelope and routing ---------------------------------------------------------
 
-def _pairs_json(key: str, value: str) -> Column:
-    return F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), F.col(value).alias("count"))))
+def window_metrics(results: DataFrame) -> DataFrame:
+    """The three per-window dashboard metrics as envelope rows, from two
+    aggregations: per (window, geo), then per window (whose lists hold one
+    entry per geo). Each window row is exploded into its three targets:
+
+    * pubGeoCount: number of (publisher, geo) groups;
+    * geoImpsCounts: [{key, count}] impressions per geo, sorted by key;
+    * geoAvgBids: {ts, data: [{key, count}]} bid share per geo (O30).
+    """
+    per_geo = results.groupBy(*WINDOW_COLS, "geo").agg(
+        F.sum("imps").alias("imps"), F.sum("avg_bids").alias("s"), F.count(F.lit(1)).alias("c"))
+    per_win = per_geo.groupBy(*WINDOW_COLS).agg(
+        F.sum("c").alias("n"),
+        F.array_sort(F.collect_list(F.struct(F.col("geo").alias("key"), F.col("imps").alias("count"))))
+        .alias("imps_list"),
+        F.array_sort(F.collect_list(F.struct(F.col("geo").alias("key"), F.col("s").alias("s"))))
+        .alias("share_parts"))
+    ts = epoch_seconds("window_end")
+    shares = F.transform("share_parts", lambda x: F.struct(
+        x["key"].alias("key"), truncated_int(x["s"] * 100 / F.col("n")).alias("count")))
+    rows = F.array(
+        F.struct(F.lit(TARGET_PUB_GEO_COUNT).alias("target"), F.col("n").cast("string").alias("data")),
+        F.struct(F.lit(TARGET_GEO_IMPS).alias("target"), F.to_json("imps_list").alias("data")),
+        F.struct(F.lit(TARGET_GEO_AVG_BIDS).alias("target"),
+                 F.to_json(F.struct(ts.alias("ts"), shares.alias("data"))).alias("data")))
+    return (per_win.select(ts.alias("ts"), F.explode(rows).alias("_r"))
+            .select(F.col("_r.target").alias("target"), "ts", F.col("_r.data").alias("data")))
 
 
 def metric_envelope(results: DataFrame, stored: DataFrame | None = None,
                     ingest: DataFrame | None = None) -> DataFrame:
-    """All dashboard metrics as (target, ts, data JSON) rows, one sink/topic.
+    """All dashboard metrics as (target, ts, data JSON) rows, one sink/topic:
+    the per-window metrics of ``window_metrics``, plus
 
-    * pubGeoCount: number of groups per window;
-    * geoImpsCounts: [{key, count}] impressions per geo (sorted by key);
-    * geoAvgBids: {ts, data: [{key, count}]} bid share per geo;
     * mongoCount: rows stored per coarse window (``stored`` = coarse results);
     * rawCount: ingest reports per window (``ingest`` = ``ingest_counter``).
-    ``ts`` is the window end in epoch seconds. Lists are collected per window
-    and hold one entry per geo.
+    ``ts`` is the window end in epoch seconds.
     """
     ts = epoch_seconds("window_end").alias("ts")
-    frames = [
-        group_count(results).select(F.lit(TARGET_PUB_GEO_COUNT).alias("target"), ts,
-                                    F.col("pub_geo_count").cast("string").alias("data")),
-        geo_impressions(results).groupBy(*WINDOW_COLS)
-        .agg(F.to_json(_pairs_json("geo", "imps")).alias("data"))
-        .select(F.lit(TARGET_GEO_IMPS).alias("target"), ts, "data"),
-        geo_bid_share(results).groupBy(*WINDOW_COLS, "ts")
-        .agg(F.to_json(F.struct(F.col("ts"), _pairs_json("geo", "share").alias("data"))).alias("data"))
-        .select(F.lit(TARGET_GEO_AVG_BIDS).alias("target"), "ts", "data"),
-    ]
+    out = window_metrics(results)
     if stored is not None:
-        frames.append(group_count(stored).select(F.lit(TARGET_STORED_COUNT).alias("target"), ts,
-                                                 F.col("pub_geo_count").cast("string").alias("data")))
+        out = out.unionByName(group_count(stored).select(
+            F.lit(TARGET_STORED_COUNT).alias("target"), ts,
+            F.col("pub_geo_count").cast("string").alias("data")))
     if ingest is not None:
-        frames.append(ingest.where(F.col("reported_increment") > 0)
-                      .select(F.lit(TARGET_RAW_COUNT).alias("target"), ts,
-                              F.col("reported_increment").cast("string").alias("data")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        out = out.unionByName(ingest.where(F.col("reported_increment") > 0).select(
+            F.lit(TARGET_RAW_COUNT).alias("target"), ts,
+            F.col("reported_increment").cast("string").alias("data")))
     return out
 
 
