@@ -24,7 +24,7 @@ KEYS = ("publisher", "geo")
 PARTIAL_COLS = ("window", "publisher", "geo", "first_ts", "sum_bids", "imps", "uniques_sketch")
 
 
-def event_time(impressions: DataFrame) -> Column:
+def event_time() -> Column:
     """Event time of an impression (its epoch-ms ``timestamp``) as a zone-less timestamp."""
     return ntz_from_millis("timestamp")
 
@@ -40,7 +40,7 @@ def fine_partials(impressions: DataFrame, window: str, slide: str | None = None,
     distinct-cookie sketch. ``time_col`` defaults to the event time; pass the
     arrival time column for arrival-time windows."""
     t = F.col(time_col) if isinstance(time_col, str) else (
-        time_col if time_col is not None else event_time(impressions))
+        time_col if time_col is not None else event_time())
     return (impressions
             .groupBy(*keys, _window(t, window, slide).alias("window"))
             .agg(F.min("timestamp").alias("first_ts"),

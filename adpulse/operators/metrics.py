@@ -112,7 +112,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str,
     2. per key, the exclusive prefix sum over buckets (few rows per key);
     3. per (key, bucket), the running sum within the bucket plus that offset.
     A task then holds one bucket of one key; the bucket must grow with
-    ``order`` (a coarsening of it).
+    ``order`` (a coarsening of it). Without keys (a single series) step 2 runs
+    in one task over one row per bucket, e.g. one row per day of data.
     """
     b = df.withColumn("_bucket", bucket)
     sums = b.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_bsum"))
@@ -152,7 +153,7 @@ def ingest_counter(impressions: DataFrame, window: str, step: int = INGEST_REPOR
     reports once per ``step`` messages has reported (``floor(total/step)*step``);
     the remainder below ``step`` is not reported yet."""
     from adpulse.operators.aggregate import event_time
-    t = time_col if time_col is not None else event_time(impressions)
+    t = time_col if time_col is not None else event_time()
     per_window = (impressions.groupBy(F.window(t, window).alias("w"))
                   .agg(F.count(F.lit(1)).alias("messages"))
                   .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),

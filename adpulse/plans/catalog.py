@@ -171,7 +171,7 @@ def metric_series(spark, base) -> DataFrame:
     impressions; the branches share its exchange, so events are scanned once.
     """
     per_group = (impressions(spark, base)
-                 .groupBy("publisher", "geo", F.window(agg.event_time(None), FINE).alias("window"))
+                 .groupBy("publisher", "geo", F.window(agg.event_time(), FINE).alias("window"))
                  .agg(F.count(F.lit(1)).alias("n")))
     known = per_group.where(F.col("geo") != "unknown")
     raw = per_group.groupBy(F.col("window.end").alias("window_end")).agg(F.sum("n").alias("value"))
