@@ -27,7 +27,7 @@ from adpulse.sources import codec
 from adpulse.sources.impressions import known_geo
 from adpulse.sources.sinks import batch_writer
 from adpulse.streaming.sources import message_stream
-from adpulse.streaming.staging import append_slice, slice_sizes, stage_slices, time_slices
+from adpulse.streaming.staging import append_slice, stage_slices, time_slices
 
 
 def impression_stream(messages: DataFrame, strict: bool = True, time_mode: str = "event",
@@ -99,11 +99,11 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
     session's own ``spark.sql.shuffle.partitions`` is restored afterwards.
     """
     sink = sink or f"{folder}/sink"
-    staged = stage_slices(messages, time_slices(messages, "timestamp", n_slices), folder)
+    staged, sizes = stage_slices(messages, time_slices(messages, "timestamp", n_slices), folder,
+                                 n_slices)
     stream_dir, checkpoint = f"{folder}/stream", f"{folder}/checkpoint"
     seq = list(order) if order is not None else list(range(n_slices))
     files = spark.sparkContext.defaultParallelism
-    sizes = slice_sizes(spark, staged)
     aligned = all(sizes.get(k, 0) >= files for k in seq)
     progress: list = []
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -21,18 +21,17 @@ def time_slices(df: DataFrame, ms_col: str, n: int) -> Column:
     return F.expr(f"((`{ms_col}` - {lo}) * {n}) div {hi - lo + 1}")
 
 
-def stage_slices(messages: DataFrame, slice_col: Column, folder: str) -> str:
+def stage_slices(messages: DataFrame, slice_col: Column, folder: str,
+                 n: int) -> tuple[str, dict[int, int]]:
     """Write ``value`` of each message, partitioned by slice, under
-    ``folder/by_slice``; returns that path."""
+    ``folder/by_slice``; returns that path and the rows per slice (observed
+    while writing, no second pass)."""
     path = f"{folder}/by_slice"
-    messages.select("value", slice_col.alias("slice")).write.partitionBy("slice").parquet(path)
-    return path
-
-
-def slice_sizes(spark, staged: str) -> dict[int, int]:
-    """Rows per slice (one row per slice comes back to the driver)."""
-    return {r["slice"]: r["n"] for r in
-            spark.read.parquet(staged).groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()}
+    obs = Observation("staged_slices")
+    (messages.select("value", slice_col.alias("slice"))
+     .observe(obs, *[F.count_if(F.col("slice") == k).alias(f"s{k}") for k in range(n)])
+     .write.partitionBy("slice").parquet(path))
+    return path, {k: int(obs.get[f"s{k}"]) for k in range(n)}
 
 
 def append_slice(spark, staged: str, k: int, stream_folder: str, files: int | None = None) -> None:
