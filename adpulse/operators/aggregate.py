@@ -51,21 +51,25 @@ def fine_partials(impressions: DataFrame, window: str, slide: str | None = None,
 
 
 def merge_partials(partials: DataFrame, window: str, slide: str | None = None,
-                   fine_window: str | None = None, keys=KEYS) -> DataFrame:
+                   fine_window: str | None = None, keys=KEYS,
+                   time_col: Column | str | None = None) -> DataFrame:
     """Re-window partials into coarser (tumbling or sliding) windows.
 
     Each fine window is placed by its ``window_time`` (last instant), which
     lies in exactly the coarse windows that contain the whole fine window when
     the coarse length and slide are multiples of the fine length. On a stream
-    ``window_time`` carries the watermark, so this chains stateful windows.
+    ``window_time`` carries the watermark, so this chains stateful windows;
+    partials read back from storage pass their own watermarked ``time_col``.
     """
     if fine_window is not None:
         fine = duration_seconds(fine_window)
         for d in (window, slide):
             if d is not None and duration_seconds(d) % fine:
                 raise ValueError(f"{d!r} is not a multiple of the fine window {fine_window!r}")
+    t = F.window_time("window") if time_col is None else (
+        F.col(time_col) if isinstance(time_col, str) else time_col)
     return (partials
-            .groupBy(*keys, _window(F.window_time("window"), window, slide).alias("window"))
+            .groupBy(*keys, _window(t, window, slide).alias("window"))
             .agg(F.min("first_ts").alias("first_ts"),
                  F.sum("sum_bids").alias("sum_bids"),
                  F.sum("imps").alias("imps"),

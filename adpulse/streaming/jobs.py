@@ -148,39 +148,69 @@ def rows_dropped_by_watermark(progress: list) -> int:
 
 
 def metrics_writer(path: str):
-    """``foreachBatch`` for the dashboard: the batch's closed fine windows ->
+    """``foreachBatch`` for the dashboard: a batch of closed fine partials ->
     metric envelope rows (group counts, per-geo impressions, bid shares),
     computed on the executors and written under ``batch_id=<n>``."""
     write = batch_writer(path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(met.metric_envelope(batch), batch_id)
+        write(met.metric_envelope(agg.finalise(batch)), batch_id)
     return run
 
 
-def start_impression_job(spark: SparkSession, messages: DataFrame, store: str, metrics: str,
-                         checkpoint_root: str, fine_window: str, coarse_window: str,
-                         trigger: dict | None = None, time_mode: str = "event",
-                         delay: str = "0 seconds", strict: bool = True) -> list:
-    """Start the whole reference job on a message stream (Kafka or files):
-
-    * query ``ui``: fine windows -> dashboard metrics per micro-batch;
-    * query ``store``: coarse windows merged from the fine partials -> the
-      result store, with rows written per batch recorded in ``store_counts``.
-
-    Two queries on one source, each with its own checkpoint, so either can
-    fail and restart alone. ``trigger`` defaults to the 1-second micro-batch.
-    Returns the started queries (``stop()`` each to end the job).
+def partials_stream(spark: SparkSession, path: str, schema, delay: str = "0 seconds") -> DataFrame:
+    """Fine partials written by the fine query, read back as a stream. Only
+    files committed to the sink's log are read (exactly once). ``fine_time``
+    (the last instant of the fine window) carries the watermark."""
+    return (spark.readStream.schema(schema).parquet(path)
+            .withColumn("fine_time", F.col("window.end") - F.expr("INTERVAL 1 MICROSECOND"))
+            .withWatermark("fine_time", delay))
+
+
+def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
+                         fine_window: str, coarse_window: str, trigger: dict | None = None,
+                         time_mode: str = "event", delay: str = "0 seconds",
+                         strict: bool = True) -> dict:
+    """Start the whole reference job on a message stream (Kafka or files).
+
+    * ``fine``: messages -> decode -> fine partials, written with the
+      exactly-once parquet file sink to ``root/partials``. The only query that
+      reads and decodes raw messages.
+    * ``ui``: committed partials -> dashboard metrics per micro-batch
+      (stateless: every fine window arrives once, closed) -> ``root/metrics``.
+    * ``store``: committed partials -> coarse windows (stateful merge with its
+      own watermark) -> ``root/store``, rows written per batch in
+      ``root/store_counts``.
+
+    The store's watermark is the last instant of the latest fine window it
+    has received, so a coarse window is stored once a later fine window has
+    been emitted (a lag of about one fine window on a flowing stream) - the
+    price of reading and decoding raw messages once instead of once per sink.
+
+    Each query has its own checkpoint and restarts alone. ``ui`` and ``store``
+    start once ``fine`` has committed its first batch (the partials folder and
+    its log then exist). ``trigger`` defaults to the 1-second micro-batch.
+    Returns the queries by name; ``stop()`` each to end the job.
     """
     trigger = trigger or {"processingTime": "1 second"}
-    imps = impression_stream(messages, strict=strict, time_mode=time_mode, delay=delay)
-    fine = fine_stream(imps, fine_window)
-    ui = (agg.finalise(fine).writeStream.queryName("ui").outputMode("append")
-          .option("checkpointLocation", f"{checkpoint_root}/ui")
-          .foreachBatch(metrics_writer(metrics)).trigger(**trigger).start())
-    stored = (agg.finalise(coarse_stream(fine, coarse_window, fine_window))
-              .writeStream.queryName("store").outputMode("append")
-              .option("checkpointLocation", f"{checkpoint_root}/store")
-              .foreachBatch(batch_writer(store, counts_path=f"{store}_counts"))
-              .trigger(**trigger).start())
-    return [ui, stored]
+    partials, ckpt = f"{root}/partials", f"{root}/_checkpoints"
+    fine = fine_stream(impression_stream(messages, strict=strict, time_mode=time_mode, delay=delay),
+                       fine_window)
+    queries = {"fine": fine.writeStream.queryName("fine").outputMode("append").format("parquet")
+               .option("path", partials).option("checkpointLocation", f"{ckpt}/fine")
+               .trigger(**trigger).start()}
+    while not queries["fine"].recentProgress and queries["fine"].isActive:
+        queries["fine"].awaitTermination(0.2)
+    if trigger.get("availableNow"):
+        queries["fine"].awaitTermination()
+    schema = fine.schema
+    queries["ui"] = (partials_stream(spark, partials, schema, delay).drop("fine_time")
+                     .writeStream.queryName("ui").option("checkpointLocation", f"{ckpt}/ui")
+                     .foreachBatch(metrics_writer(f"{root}/metrics")).trigger(**trigger).start())
+    coarse = agg.merge_partials(partials_stream(spark, partials, schema, delay), coarse_window,
+                                        fine_window=fine_window, time_col="fine_time")
+    queries["store"] = (agg.finalise(coarse).writeStream.queryName("store").outputMode("append")
+                        .option("checkpointLocation", f"{ckpt}/store")
+                        .foreachBatch(batch_writer(f"{root}/store", counts_path=f"{root}/store_counts"))
+                        .trigger(**trigger).start())
+    return queries

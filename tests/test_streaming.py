@@ -88,20 +88,28 @@ def test_kafka_source_is_optional(spark):
         assert "kafka" in str(e).lower()
 
 
-def test_whole_job_two_queries(spark):
+def test_whole_job_reads_raw_messages_once(spark):
     from adpulse.streaming.sources import message_stream
     folder = work_dir(spark, "t-job")
     msgs = streams.messages(spark, SF_SMALL)
     msgs.select("value").write.text(f"{folder}/in")
-    store, metrics_path = f"{folder}/store", f"{folder}/metrics"
-    qs = jobs.start_impression_job(spark, message_stream(spark, "text", f"{folder}/in"), store,
-                                   metrics_path, f"{folder}/ckpt", FINE, COARSE,
-                                   trigger={"availableNow": True})
-    for q in qs:
+    root = f"{folder}/job"
+    qs = jobs.start_impression_job(spark, message_stream(spark, "text", f"{folder}/in"), root,
+                                   FINE, COARSE, trigger={"availableNow": True})
+    for q in qs.values():
         q.awaitTermination()
-    got = spark.read.parquet(store).drop("batch_id")
-    assert rows(got, *COLS) == rows(_closed_batch(spark, COARSE), *COLS)
-    counted = spark.read.parquet(f"{store}_counts").agg(F.sum("rows")).first()[0]
-    assert counted == got.count()
-    targets = {r["target"] for r in spark.read.parquet(metrics_path).select("target").distinct().collect()}
-    assert targets == {"pubGeoCount", "geoImpsCounts", "geoAvgBids"}
+    # only the fine query reads messages
+    assert sum(p["numInputRows"] for p in qs["fine"].recentProgress) == msgs.count()
+    store = spark.read.parquet(f"{root}/store").drop("batch_id")
+    # the store's watermark is the last instant of the latest fine window it
+    # has received, so a coarse window is stored once a fine window ending
+    # after it has been emitted
+    last_fine_end = spark.read.parquet(f"{root}/partials").agg(F.max("window.end")).first()[0]
+    want = _closed_batch(spark, COARSE).where(F.col("window_end") < F.lit(last_fine_end).cast("timestamp_ntz"))
+    assert rows(store, *COLS) == rows(want, *COLS)
+    counted = spark.read.parquet(f"{root}/store_counts").agg(F.sum("rows")).first()[0]
+    assert counted == store.count()
+    env = spark.read.parquet(f"{root}/metrics").drop("batch_id")
+    want = spark.createDataFrame(
+        [r for r in streams.q_stream_fan_out(spark, SF_SMALL).collect()])
+    assert rows(env, "target", "ts", "data") == rows(want, "target", "ts", "data")
