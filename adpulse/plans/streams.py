@@ -119,6 +119,30 @@ def q_stream_fan_out(spark, base):
     return _sink(spark, metrics_path)
 
 
+def run_job(spark, base) -> str:
+    """The production job (``start_impression_job``) on the messages of
+    ``events`` as a file stream, run to completion; returns its root folder."""
+    from adpulse.streaming.sources import message_stream
+    folder = work_dir(spark, "job")
+    messages(spark, base).select("value").write.text(f"{folder}/in")
+    queries = jobs.start_impression_job(spark, message_stream(spark, "text", f"{folder}/in"),
+                                        f"{folder}/out", FINE, COARSE,
+                                        trigger={"availableNow": True})
+    for q in queries.values():
+        q.awaitTermination()
+    return f"{folder}/out"
+
+
+def q_stream_job_store(spark, base):
+    """Coarse windows stored by the production job."""
+    return _sink(spark, f"{run_job(spark, base)}/store")
+
+
+def q_stream_job_metrics(spark, base):
+    """Dashboard metrics written by the production job."""
+    return _sink(spark, f"{run_job(spark, base)}/metrics")
+
+
 STREAM_QUERIES = {
     "stream_fine_agg": q_stream_fine_agg,
     "stream_coarse_agg": q_stream_coarse_agg,
@@ -128,4 +152,6 @@ STREAM_QUERIES = {
     "stream_stored_count": q_stream_stored_count,
     "stream_late_data": q_stream_late_data,
     "stream_fan_out": q_stream_fan_out,
+    "stream_job_store": q_stream_job_store,
+    "stream_job_metrics": q_stream_job_metrics,
 }
