@@ -40,9 +40,13 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    # events per second over the whole table (row count from the parquet footer)
+    import pyarrow.parquet as pq
+    n_events = pq.ParquetFile(f"{sf_dir}/events.parquet").metadata.num_rows
+    rates = {k: round(n_events / times[k]) for k in ("fine_window_agg", "stream_coarse_agg") if k in times}
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else None,
-                      "cpus": cpus}))
+                      "cpus": cpus, "events": n_events, "events_per_sec": rates}))
     spark.stop()
 
 
