@@ -119,13 +119,17 @@ def sliding_from_partials(partials: DataFrame, length: str, slide: str,
     return merge_partials(partials, length, slide, fine_window, keys)
 
 
-def uniques(impressions: DataFrame, keys=KEYS, lg_k: int = HLL_LG_K,
-            one_shot_rsd: float = 0.0163) -> DataFrame:
-    """Approximate distinct cookies per key: mergeable sketch estimate and the
-    one-shot HyperLogLog++ form (same relative error as 2^12 registers)."""
+def uniques(impressions: DataFrame, keys=KEYS, lg_k: int = HLL_LG_K) -> DataFrame:
+    """Approximate distinct cookies per key from the mergeable sketch (exact
+    while a group holds few distinct cookies, about 1.6 % error beyond)."""
     return (impressions.groupBy(*keys)
-            .agg(F.hll_sketch_estimate(F.hll_sketch_agg("cookie", lg_k)).alias("uniques"),
-                 F.approx_count_distinct("cookie", one_shot_rsd).alias("uniques_one_shot")))
+            .agg(F.hll_sketch_estimate(F.hll_sketch_agg("cookie", lg_k)).alias("uniques")))
+
+
+def uniques_one_shot(impressions: DataFrame, keys=KEYS, rsd: float = 0.0163) -> DataFrame:
+    """The one-shot HyperLogLog++ form (not mergeable; same relative error as
+    2^12 registers). Approximate even for small groups."""
+    return impressions.groupBy(*keys).agg(F.approx_count_distinct("cookie", rsd).alias("uniques"))
 
 
 def uniques_exact(impressions: DataFrame, keys=KEYS) -> DataFrame:

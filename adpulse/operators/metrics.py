@@ -140,6 +140,25 @@ def latest_n(df: DataFrame, keys: Sequence[str], order: str,
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def counter_text(value) -> Column:
+    """Counter display: thousands-separated integer ("12,345")."""
+    return F.format_number(F.col(value) if isinstance(value, str) else value, 0)
+
+
+def gauge_text(value) -> Column:
+    """Gauge display: the value with no decimals ("14")."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.format_string("%.0f", c.cast("double"))
+
+
+def gauges(long_df: DataFrame, key: str, order: str, value: str,
+           ceiling: int = CHART_CEILING) -> DataFrame:
+    """What each gauge shows: its latest value within the ceiling (a value
+    above the ceiling is ignored, so the gauge keeps the previous one)."""
+    latest = latest_n(row_ceiling(long_df, value, ceiling), [key], order, n=1)
+    return latest.select(key, order, value, gauge_text(value).alias("text"))
+
+
 def sum_by_key(df: DataFrame, key: str = "key", value: str = "count") -> DataFrame:
     """(key, count) list -> total count per key."""
     return df.groupBy(key).agg(F.sum(value).alias(value))

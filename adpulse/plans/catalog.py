@@ -122,6 +122,12 @@ def q_uniques_estimate(spark, base):
     return agg.uniques(known_geo(impressions(spark, base)))
 
 
+def q_uniques_one_shot(spark, base):
+    """Approximate: no exact oracle (checked against exact counts within its
+    error bound in tests)."""
+    return agg.uniques_one_shot(known_geo(impressions(spark, base)))
+
+
 def q_uniques_exact(spark, base):
     return agg.uniques_exact(known_geo(impressions(spark, base)))
 
@@ -189,6 +195,20 @@ def q_running_totals(spark, base):
     return met.running_total(series, ["key"], "window_end", "value", met.day_bucket("window_end"))
 
 
+def q_dashboard_counters(spark, base):
+    """The three counters as the dashboard shows them after the last window:
+    final running total per counter, as thousands-separated text."""
+    series = materialize(metric_series(spark, base))
+    totals = met.running_total(series, ["key"], "window_end", "value", met.day_bucket("window_end"))
+    last = met.latest_n(totals, ["key"], "window_end", n=1)
+    return last.select("key", "window_end", "total", met.counter_text("total").alias("text"))
+
+
+def q_geo_gauges(spark, base):
+    """Per geo gauge: latest hourly impressions within the ceiling, as text."""
+    return met.gauges(met.geo_impressions(fine_results(spark, base)), "geo", "window_end", "imps")
+
+
 def q_latest_n(spark, base):
     series = met.unpivot_series(met.geo_bid_share_wide(fine_results(spark, base)),
                                 ["window_start", "window_end", "ts"])
@@ -271,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "decode_accepted": q_decode_accepted,
     "known_geo": q_known_geo,
     "uniques_estimate": q_uniques_estimate,
+    "uniques_one_shot": q_uniques_one_shot,
     "uniques_exact": q_uniques_exact,
     "geo_impressions": q_geo_impressions,
     "group_count": q_group_count,
@@ -282,6 +303,8 @@ QUERIES: dict[str, Query] = {
     "point_ceiling": q_point_ceiling,
     "running_totals": q_running_totals,
     "latest_n": q_latest_n,
+    "dashboard_counters": q_dashboard_counters,
+    "geo_gauges": q_geo_gauges,
     "sum_by_key": q_sum_by_key,
     "ingest_counter": q_ingest_counter,
     "metric_envelope": q_metric_envelope,

@@ -18,11 +18,14 @@ def con():
     return c
 
 
+APPROXIMATE = {"uniques_one_shot"}  # no exact SQL equivalent; see test_aggregate
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.queries()) - set(entry.oracle_sql()) == APPROXIMATE
 
 
-@pytest.mark.parametrize("name", sorted(BATCH_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(BATCH_QUERIES) - APPROXIMATE))
 def test_batch_query_matches_oracle(spark, con, name):
     r = compare(name, spark, con, SF_SMALL, entry.queries(), entry.oracle_sql())
     assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
