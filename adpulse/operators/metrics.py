@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adpulse.functions.columns import epoch_seconds, truncated_int
+from adpulse.operators.aggregate import event_time, window_bounds
 from adpulse.functions.constants import (CHART_CEILING, CHART_GEO_ORDER, CHART_WINDOW_SIZE,
                                          INGEST_REPORT_STEP, TARGET_GEO_AVG_BIDS,
                                          TARGET_GEO_IMPS, TARGET_PUB_GEO_COUNT,
@@ -57,7 +58,6 @@ def geo_bid_share_wide(results: DataFrame, geos: Sequence[str] = CHART_GEO_ORDER
     sums = [F.sum(F.when(F.col("geo") == g, F.col("avg_bids"))).alias(f"_s_{g}") for g in geos]
     agg = results.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *sums)
     if list(by) == ["window"]:  # grouped on the window struct (streams)
-        from adpulse.operators.aggregate import window_bounds
         agg = agg.select(*window_bounds(agg), "_n", *[f"_s_{g}" for g in geos])
         by = WINDOW_COLS
     return agg.select(*by, epoch_seconds("window_end").alias("ts"),
@@ -171,7 +171,6 @@ def ingest_counter(impressions: DataFrame, window: str, step: int = INGEST_REPOR
     """Messages per window, their running total, and what a producer that
     reports once per ``step`` messages has reported (``floor(total/step)*step``);
     the remainder below ``step`` is not reported yet."""
-    from adpulse.operators.aggregate import event_time
     t = time_col if time_col is not None else event_time()
     per_window = (impressions.groupBy(F.window(t, window).alias("w"))
                   .agg(F.count(F.lit(1)).alias("messages"))

@@ -12,15 +12,16 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.functions.columns import epoch_millis, epoch_seconds
-from adpulse.session import materialize
-from adpulse.functions.constants import (CHART_GEO_ORDER, TARGET_PUB_GEO_COUNT,
-                                         TARGET_RAW_COUNT, TARGET_STORED_COUNT,
-                                         TEST_COARSE_WINDOW, TEST_FINE_WINDOW)
+from adpulse.functions.columns import epoch_millis, ntz_from_millis
+from adpulse.functions.constants import (TARGET_PUB_GEO_COUNT, TARGET_RAW_COUNT,
+                                         TARGET_STORED_COUNT, TEST_COARSE_WINDOW,
+                                         TEST_FINE_WINDOW)
 from adpulse.operators import aggregate as agg
 from adpulse.operators import metrics as met
 from adpulse.sources import codec
-from adpulse.sources.impressions import impressions_from_events, known_geo
+from adpulse.session import materialize, work_dir
+from adpulse.sources.impressions import impression_columns, impressions_from_events, known_geo
+from adpulse.sources.sinks import decode_dates, encode_dates, stored_count, write_results
 from adpulse.sources.tables import read_table
 
 FINE = TEST_FINE_WINDOW
@@ -64,7 +65,6 @@ def damaged_messages(spark, base) -> DataFrame:
     picked by event id: not JSON, two fields missing, a string timestamp, a
     string bid. All other messages are well formed. One scan, no join."""
     ev = read_table(spark, base, "events", spread=True)
-    from adpulse.sources.impressions import impression_columns
     imp = ev.select(F.col("event_id").cast("string").alias("key"), "event_type", "event_id",
                     *impression_columns())
     f = codec.IMPRESSION_FIELDS
@@ -252,7 +252,6 @@ def q_storage_ratio(spark, base):
 
 def q_sink_timestamp_codec(spark, base):
     """Stored ``date`` <-> epoch milliseconds, both directions."""
-    from adpulse.functions.columns import ntz_from_millis
     res = fine_results(spark, base)
     return (res.select("window_start", "publisher", "geo", "date",
                        epoch_millis("date").alias("date_ms"))
@@ -262,8 +261,6 @@ def q_sink_timestamp_codec(spark, base):
 def _store_fine_results(spark, base) -> str:
     """Write the fine results to the store (dates as epoch ms, partitioned by
     window date) twice - a rerun of the same job - and return the path."""
-    from adpulse.session import work_dir
-    from adpulse.sources.sinks import encode_dates, write_results
     path = work_dir(spark, "store") + "/results"
     stored = encode_dates(materialize(fine_results(spark, base)))
     write_results(stored, path)
@@ -273,12 +270,10 @@ def _store_fine_results(spark, base) -> str:
 
 def q_stored_results(spark, base):
     """Rows read back from the store, dates decoded."""
-    from adpulse.sources.sinks import decode_dates
     return decode_dates(spark.read.parquet(_store_fine_results(spark, base)).drop("window_date"))
 
 
 def q_stored_count(spark, base):
-    from adpulse.sources.sinks import stored_count
     return stored_count(spark, _store_fine_results(spark, base))
 
 

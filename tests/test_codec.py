@@ -1,8 +1,6 @@
 import json
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from adpulse.sources import codec
 from adpulse.sources.impressions import impressions_from_events

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from adpulse.session import work_dir
 from adpulse.sources.sinks import (batch_writer, decode_dates, encode_dates, stored_count,
                                    write_results)
