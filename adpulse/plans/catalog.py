@@ -21,7 +21,8 @@ from adpulse.operators import metrics as met
 from adpulse.sources import codec
 from adpulse.session import materialize, work_dir
 from adpulse.sources.impressions import impression_columns, impressions_from_events, known_geo
-from adpulse.sources.sinks import decode_dates, encode_dates, stored_count, write_results
+from adpulse.sources.sinks import (decode_dates, encode_dates, stored_count, write_partials,
+                                   write_results)
 from adpulse.sources.tables import read_table
 
 FINE = TEST_FINE_WINDOW
@@ -277,6 +278,15 @@ def q_stored_count(spark, base):
     return stored_count(spark, _store_fine_results(spark, base))
 
 
+def q_stored_rollup(spark, base):
+    """Daily windows merged from stored hourly partials (sketches unioned):
+    the raw events are not read again for the rollup."""
+    path = work_dir(spark, "partials") + "/fine"
+    write_partials(fine_partials(spark, base), path)
+    stored = spark.read.parquet(path).drop("window_date")
+    return agg.finalise(agg.merge_partials(stored, "1 day", fine_window=FINE))
+
+
 QUERIES: dict[str, Query] = {
     "fine_window_agg": q_fine_window_agg,
     "coarse_from_fine": q_coarse_from_fine,
@@ -308,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "sink_timestamp_codec": q_sink_timestamp_codec,
     "stored_results": q_stored_results,
     "stored_count": q_stored_count,
+    "stored_rollup": q_stored_rollup,
 }
 
 FLAGSHIP = "fine_window_agg"

@@ -34,6 +34,18 @@ def write_results(results: DataFrame, path: str, fmt: str = "parquet",
     return int(obs.get["rows"])
 
 
+def write_partials(partials: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """Store mergeable partials (sketches as binary) partitioned by window
+    date, replacing only the dates present. Any coarser rollup can later be
+    merged from them without re-reading raw events."""
+    obs = Observation("partials_written")
+    (partials.withColumn("window_date", F.to_date("window.start"))
+     .observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("window_date").save(path))
+    return int(obs.get["rows"])
+
+
 def stored_count(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Rows currently stored at ``path`` (one row, ``stored_rows``)."""
     return spark.read.format(fmt).load(path).agg(F.count(F.lit(1)).alias("stored_rows"))
