@@ -84,3 +84,19 @@ def test_json_parsed_once(spark):
     dec = codec.rejects(codec.decode_permissive(_msgs(spark, "x")))
     plan = dec._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_text = st.text(st.characters(blacklist_categories=("Cs",)), max_size=12)
+_record = st.tuples(st.integers(-2**62, 2**62), _text, _text, _text, _text,
+                    st.floats(allow_nan=False, allow_infinity=False, width=64), _text)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_record, min_size=1, max_size=20))
+def test_roundtrip_any_record(spark, records):
+    df = spark.createDataFrame(records, codec.IMPRESSION_DDL)
+    back = codec.decode_strict(codec.encode_messages(df))
+    assert rows(back) == rows(df)
