@@ -170,7 +170,7 @@ def partials_stream(spark: SparkSession, path: str, schema, delay: str = "0 seco
 def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
                          fine_window: str, coarse_window: str, trigger: dict | None = None,
                          time_mode: str = "event", delay: str = "0 seconds",
-                         strict: bool = True) -> dict:
+                         strict: bool = True, rejects: bool = False) -> dict:
     """Start the whole reference job on a message stream (Kafka or files).
 
     * ``fine``: messages -> decode -> fine partials, written with the
@@ -187,6 +187,11 @@ def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
     been emitted (a lag of about one fine window on a flowing stream) - the
     price of reading and decoding raw messages once instead of once per sink.
 
+    With ``strict=False`` malformed messages are skipped instead of failing
+    the job; ``rejects=True`` then adds a query that keeps them, with their
+    reason, in ``root/rejects`` (it reads the raw messages a second time and
+    writes only the rejected ones).
+
     Each query has its own checkpoint and restarts alone. ``ui`` and ``store``
     start once ``fine`` has committed its first batch (the partials folder and
     its log then exist). ``trigger`` defaults to the 1-second micro-batch.
@@ -199,6 +204,14 @@ def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
     queries = {"fine": fine.writeStream.queryName("fine").outputMode("append").format("parquet")
                .option("path", partials).option("checkpointLocation", f"{ckpt}/fine")
                .trigger(**trigger).start()}
+    if rejects and not strict:
+        raw = messages.withColumn("raw", F.col("value"))
+        bad = codec.rejects(codec.decode_permissive(raw, keep=("key", "arrival", "raw")))
+        queries["rejects"] = (bad.select("key", "arrival", "reject_reason", F.col("raw").alias("value"))
+                              .writeStream.queryName("rejects").format("parquet")
+                              .option("path", f"{root}/rejects")
+                              .option("checkpointLocation", f"{ckpt}/rejects")
+                              .trigger(**trigger).start())
     while not queries["fine"].recentProgress and queries["fine"].isActive:
         queries["fine"].awaitTermination(0.2)
     if trigger.get("availableNow"):

@@ -8,6 +8,7 @@ from adpulse.session import work_dir
 from adpulse.sources.impressions import known_geo
 from adpulse.sources.sinks import batch_writer, retried
 from adpulse.streaming import jobs
+from adpulse.streaming.sources import message_stream
 from conftest import SF_SMALL, rows
 
 COLS = ("window_start", "window_end", "publisher", "geo", "date", "imps", "uniques", "avg_bids")
@@ -113,3 +114,24 @@ def test_whole_job_reads_raw_messages_once(spark):
     want = spark.createDataFrame(
         [r for r in streams.q_stream_fan_out(spark, SF_SMALL).collect()])
     assert rows(env, "target", "ts", "data") == rows(want, "target", "ts", "data")
+
+
+def test_job_side_output_of_rejects(spark):
+    from adpulse.plans.catalog import damaged_messages
+    folder = work_dir(spark, "t-rejects")
+    damaged_messages(spark, SF_SMALL).select("value").write.text(f"{folder}/in")
+    root = f"{folder}/job"
+    qs = jobs.start_impression_job(spark, message_stream(spark, "text", f"{folder}/in"), root,
+                                   FINE, COARSE, trigger={"availableNow": True}, strict=False,
+                                   rejects=True)
+    for q in qs.values():
+        q.awaitTermination()
+    got = rows(spark.read.parquet(f"{root}/rejects").groupBy("reject_reason").count())
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_type = 'error'")
+    want = rows(ev.select(F.expr("""CASE event_id % 4 WHEN 0 THEN 'unparseable'
+        WHEN 1 THEN 'missing:bid,cookie' WHEN 2 THEN 'invalid:timestamp' ELSE 'invalid:bid' END""")
+                          .alias("reject_reason")).groupBy("reject_reason").count())
+    assert got == want
+    # the fine partials hold only the accepted impressions
+    accepted_known = spark.read.parquet(f"{root}/partials").agg(F.sum("imps")).first()[0]
+    assert accepted_known < known_geo(impressions(spark, SF_SMALL)).count()
