@@ -66,6 +66,24 @@ def q_stream_totals(spark, base):
     return spark.read.parquet(sink)
 
 
+def q_stream_arrival_totals(spark, base):
+    """Windows on arrival (batch) time, as the micro-batch job assigns rows
+    to the batch they arrive in: nothing is late, every known impression is
+    counted. The windows depend on the wall clock, so the result is the
+    impressions per (publisher, geo) summed over all arrival windows."""
+    folder = work_dir(spark, "stream-arrival")
+    sink = f"{folder}/sink"
+
+    def build(src):
+        imp = jobs.impression_stream(src, time_mode="arrival")
+        return jobs.fine_stream(imp, FINE).select("window", "publisher", "geo", "imps")
+
+    jobs.run_slices(spark, messages(spark, base), N_SLICES, build, folder,
+                    writer=jobs.table_writer(sink), output_mode="complete", sink=sink)
+    return (spark.read.parquet(sink).groupBy("publisher", "geo")
+            .agg(F.sum("imps").alias("imps")))
+
+
 def q_stream_sink_idempotent(spark, base):
     """Every micro-batch is written twice, as a retried batch would be; the
     sink still holds each coarse window once."""
@@ -148,6 +166,7 @@ STREAM_QUERIES = {
     "stream_coarse_agg": q_stream_coarse_agg,
     "stream_share_wide": q_stream_share_wide,
     "stream_totals": q_stream_totals,
+    "stream_arrival_totals": q_stream_arrival_totals,
     "stream_sink_idempotent": q_stream_sink_idempotent,
     "stream_stored_count": q_stream_stored_count,
     "stream_late_data": q_stream_late_data,
