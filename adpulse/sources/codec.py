@@ -58,7 +58,8 @@ def decode_strict(messages: DataFrame, value_col: str = "value",
         F.size(missing) > 0,
         F.raise_error(F.concat(F.lit("malformed impression, missing fields: "),
                                F.array_join(missing, ","), F.lit(" in "),
-                               F.coalesce(F.col(VALUE_ALIAS), F.lit("null")))),
+                               # an excerpt: the message itself may be large
+                               F.coalesce(F.substring(F.col(VALUE_ALIAS), 1, 200), F.lit("null")))),
     ).otherwise(m)
     return out.select(*keep, checked.alias("_c")).select(*keep, *[f"_c.{f}" for f in IMPRESSION_FIELDS])
 
