@@ -58,17 +58,15 @@ def batch_writer(path: str, fmt: str = "parquet", options: dict | None = None,
     per batch are recorded there the same way (the stored-rows counter)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"sink_{batch_id}")
-        (batch.withColumn("batch_id", F.lit(batch_id))
-              .observe(obs, F.count(F.lit(1)).alias("rows"))
+        # the batch's own folder is replaced: a replayed batch leaves one copy
+        (batch.observe(obs, F.count(F.lit(1)).alias("rows"))
               .write.mode("overwrite").format(fmt).options(**(options or {}))
-              .option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").save(path))
+              .save(f"{path}/batch_id={batch_id}"))
         if counts_path is not None:
             spark = batch.sparkSession
             rows = int(obs.get["rows"])
-            (spark.createDataFrame([(batch_id, rows)], "batch_id bigint, rows bigint")
-                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                  .partitionBy("batch_id").parquet(counts_path))
+            (spark.createDataFrame([(rows,)], "rows bigint")
+                  .write.mode("overwrite").parquet(f"{counts_path}/batch_id={batch_id}"))
     return write
 
 
