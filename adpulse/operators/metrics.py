@@ -42,9 +42,12 @@ def geo_bid_share(results: DataFrame, by: Sequence[str] = WINDOW_COLS) -> DataFr
     the values are each geo's contribution to the window's mean bid, in percent
     (they add up to about 100 x the mean). ``ts`` stamps the point with the
     window end in epoch seconds.
+
+    The results are hash-partitioned by window once; the per-(window, geo)
+    aggregate and the per-window total then need no further shuffle.
     """
-    per_geo = results.groupBy(*by, "geo").agg(F.sum("avg_bids").alias("_s"),
-                                             F.count(F.lit(1)).alias("_c"))
+    per_geo = results.repartition(*by).groupBy(*by, "geo").agg(
+        F.sum("avg_bids").alias("_s"), F.count(F.lit(1)).alias("_c"))
     n = F.sum("_c").over(Window.partitionBy(*by))
     return per_geo.select(*by, epoch_seconds("window_end").alias("ts"), "geo",
                           truncated_int(F.col("_s") * 100 / n).alias("share"))
@@ -201,7 +204,9 @@ def window_metrics(results: DataFrame) -> DataFrame:
     * geoImpsCounts: [{key, count}] impressions per geo, sorted by key;
     * geoAvgBids: {ts, data: [{key, count}]} bid share per geo (O30).
     """
-    per_geo = results.groupBy(*WINDOW_COLS, "geo").agg(
+    # one shuffle by window serves both aggregations (a window holds at most
+    # publishers x geos result rows)
+    per_geo = results.repartition(*WINDOW_COLS).groupBy(*WINDOW_COLS, "geo").agg(
         F.sum("imps").alias("imps"), F.sum("avg_bids").alias("s"), F.count(F.lit(1)).alias("c"))
     per_win = per_geo.groupBy(*WINDOW_COLS).agg(
         F.sum("c").alias("n"),
