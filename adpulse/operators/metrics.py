@@ -117,8 +117,14 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, value: str,
     A task then holds one bucket of one key; the bucket must grow with
     ``order`` (a coarsening of it). Without keys (a single series) step 2 runs
     in one task over one row per bucket, e.g. one row per day of data.
+
+    ``df`` is read twice (rows and offsets); when it is computed from a large
+    scan, pass a checkpointed ``df`` (``session.materialize``) so the scan runs
+    once.
     """
-    b = df.withColumn("_bucket", bucket)
+    # rows are clustered by (key, bucket) once: the bucket sums, the join with
+    # the offsets and the within-bucket running sum all reuse that partitioning
+    b = df.withColumn("_bucket", bucket).repartition(*keys, "_bucket")
     sums = b.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_bsum"))
     prior = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*keys, "_bucket",
@@ -169,17 +175,22 @@ def sum_by_key(df: DataFrame, key: str = "key", value: str = "count") -> DataFra
 
 # -- counters -------------------------------------------------------------------------
 
+def messages_per_window(impressions: DataFrame, window: str,
+                        time_col: Column | None = None) -> DataFrame:
+    """(window_start, window_end, messages) over all impressions."""
+    t = time_col if time_col is not None else event_time()
+    return (impressions.groupBy(F.window(t, window).alias("w"))
+            .agg(F.count(F.lit(1)).alias("messages"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "messages"))
+
+
 def ingest_counter(impressions: DataFrame, window: str, step: int = INGEST_REPORT_STEP,
                    time_col: Column | None = None) -> DataFrame:
     """Messages per window, their running total, and what a producer that
     reports once per ``step`` messages has reported (``floor(total/step)*step``);
     the remainder below ``step`` is not reported yet."""
-    t = time_col if time_col is not None else event_time()
-    per_window = (impressions.groupBy(F.window(t, window).alias("w"))
-                  .agg(F.count(F.lit(1)).alias("messages"))
-                  .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                          "messages"))
-    return ingest_reports(per_window, step)
+    return ingest_reports(messages_per_window(impressions, window, time_col), step)
 
 
 def ingest_reports(per_window: DataFrame, step: int = INGEST_REPORT_STEP) -> DataFrame:
