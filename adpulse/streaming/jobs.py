@@ -83,15 +83,17 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
     """Replay ``messages`` (``value`` + epoch-ms ``timestamp``) as a stream.
 
     The messages are cut into ``n_slices`` event-time slices and appended to
-    the stream folder in ``order``, slice by slice, each as exactly F files
+    the stream folder in ``order``, slice by slice, each as F files
     (F = default parallelism). The file source takes files oldest first, so
     one ``availableNow`` run with ``maxFilesPerTrigger = F`` processes one
     slice per micro-batch: the watermark advances between slices as it would
-    between broker batches.
+    between broker batches. A slice that comes out as fewer files is
+    processed right after it is appended (it is then the newest data, so its
+    batch holds all of it) - a batch never straddles two slices.
 
-    ``restart_each_slice=True`` (or a slice smaller than F) appends one slice
-    at a time and restarts the query from its checkpoint after each, as after
-    a driver failure. Returns the sink path and all progress reports.
+    ``restart_each_slice=True`` appends one slice at a time and restarts the
+    query from its checkpoint after each, as after a driver failure. Returns
+    the sink path and all progress reports.
 
     ``state_partitions`` (default: the cluster's parallelism) is the number of
     partitions of the stateful operators; it is fixed in the checkpoint when
@@ -104,7 +106,6 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
     stream_dir, checkpoint = f"{folder}/stream", f"{folder}/checkpoint"
     seq = list(order) if order is not None else list(range(n_slices))
     files = spark.sparkContext.defaultParallelism
-    aligned = all(sizes.get(k, 0) >= files for k in seq)
     progress: list = []
 
     parts = str(state_partitions or spark.sparkContext.defaultParallelism)
@@ -123,15 +124,18 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
             spark.conf.set("spark.sql.shuffle.partitions", saved)
         progress.extend(query.recentProgress)
 
-    if restart_each_slice or not aligned:
-        for k in seq:
-            if sizes.get(k, 0):
-                append_slice(spark, staged, k, stream_dir)
-                run({})
-    else:
-        for k in seq:
-            append_slice(spark, staged, k, stream_dir, files=files)
-        run({"maxFilesPerTrigger": str(files)})
+    options = {"maxFilesPerTrigger": str(files)}
+    pending = False
+    for k in seq:
+        if not sizes.get(k, 0):
+            continue
+        written = append_slice(spark, staged, k, stream_dir, files=files)
+        pending = True
+        if restart_each_slice or written != files:
+            run(options)
+            pending = False
+    if pending:
+        run(options)
     return sink, progress
 
 

@@ -34,14 +34,20 @@ def stage_slices(messages: DataFrame, slice_col: Column, folder: str,
     return path, {k: int(obs.get[f"s{k}"]) for k in range(n)}
 
 
-def append_slice(spark, staged: str, k: int, stream_folder: str, files: int | None = None) -> None:
-    """Append slice ``k`` to the stream folder as new text files; with
-    ``files`` the rows are dealt round-robin into exactly that many files
-    (when the slice has at least that many rows)."""
+def append_slice(spark, staged: str, k: int, stream_folder: str, files: int | None = None) -> int:
+    """Append slice ``k`` to the stream folder as new text files and return
+    how many files were written (one per non-empty partition, observed while
+    writing). With ``files`` the rows are dealt round-robin into that many
+    partitions, which gives that many files whenever an input split holds at
+    least ``files`` rows."""
     df = spark.read.parquet(staged).where(F.col("slice") == k).select("value")
     if files:
         df = df.repartition(files)
-    df.write.mode("append").text(stream_folder)
+    obs = Observation(f"slice_{k}_files")
+    (df.withColumn("_part", F.spark_partition_id())
+       .observe(obs, F.collect_set("_part").alias("parts"))
+       .select("value").write.mode("append").text(stream_folder))
+    return len(obs.get["parts"])
 
 
 def stage_order(n: int, order: Sequence[int] | None = None) -> list[int]:
