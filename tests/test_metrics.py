@@ -102,3 +102,17 @@ def test_storage_ratio(spark):
     out = met.storage_ratio(files).collect()
     assert [r["id"] for r in out] == [2, 1]  # newest first
     assert out[1]["ratio"] == 50.0 and out[0]["ratio"] is None
+
+
+def test_gauge_keeps_last_value_within_ceiling(spark):
+    df = spark.createDataFrame([("NY", 1, 12), ("NY", 2, 41), ("CA", 1, 7), ("CA", 2, 9)],
+                               "geo string, t int, imps bigint")
+    got = rows(met.gauges(df, "geo", "t", "imps"), "geo", "t", "imps", "text")
+    assert got == [("CA", 2, 9, "9"), ("NY", 1, 12, "12")]  # NY's 41 is ignored
+
+
+def test_display_formats(spark):
+    df = spark.createDataFrame([(1234567,), (0,), (999,)], "v bigint")
+    got = sorted(r[0] for r in df.select(met.counter_text("v")).collect())
+    assert got == ["0", "1,234,567", "999"]
+    assert df.select(met.gauge_text("v")).first()[0] == "1234567"
