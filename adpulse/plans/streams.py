@@ -145,7 +145,8 @@ def run_job(spark, base) -> str:
     messages(spark, base).select("value").write.text(f"{folder}/in")
     queries = jobs.start_impression_job(spark, message_stream(spark, "text", f"{folder}/in"),
                                         f"{folder}/out", FINE, COARSE,
-                                        trigger={"availableNow": True})
+                                        trigger={"availableNow": True},
+                                        state_partitions=spark.sparkContext.defaultParallelism)
     for q in queries.values():
         q.awaitTermination()
     return f"{folder}/out"

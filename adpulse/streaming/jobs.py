@@ -14,6 +14,7 @@ arrival time (broker timestamp or batch time), as the DStream job did.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,20 +109,16 @@ def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
     files = spark.sparkContext.defaultParallelism
     progress: list = []
 
-    parts = str(state_partitions or spark.sparkContext.defaultParallelism)
+    parts = state_partitions or spark.sparkContext.defaultParallelism
 
     def run(options: dict) -> None:
         out = build(message_stream(spark, "text", stream_dir, options=options))
-        saved = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
-        try:
+        with shuffle_partitions(spark, parts):
             query = (out.writeStream.outputMode(output_mode)
                      .option("checkpointLocation", checkpoint)
                      .foreachBatch(writer or batch_writer(sink))
                      .trigger(availableNow=True).start())
-            query.awaitTermination()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", saved)
+        query.awaitTermination()
         progress.extend(query.recentProgress)
 
     options = {"maxFilesPerTrigger": str(files)}
@@ -151,6 +148,22 @@ def rows_dropped_by_watermark(progress: list) -> int:
     return total
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Set ``spark.sql.shuffle.partitions`` around a query start (a streaming
+    query copies the session conf when it starts and keeps the value in its
+    checkpoint); ``None`` leaves the session as it is."""
+    if n is None:
+        yield
+        return
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+
+
 def metrics_writer(path: str):
     """``foreachBatch`` for the dashboard: a batch of closed fine partials ->
     metric envelope rows (group counts, per-geo impressions, bid shares),
@@ -174,7 +187,8 @@ def partials_stream(spark: SparkSession, path: str, schema, delay: str = "0 seco
 def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
                          fine_window: str, coarse_window: str, trigger: dict | None = None,
                          time_mode: str = "event", delay: str = "0 seconds",
-                         strict: bool = True, rejects: bool = False) -> dict:
+                         strict: bool = True, rejects: bool = False,
+                         state_partitions: int | None = None) -> dict:
     """Start the whole reference job on a message stream (Kafka or files).
 
     * ``fine``: messages -> decode -> fine partials, written with the
@@ -196,6 +210,9 @@ def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
     reason, in ``root/rejects`` (it reads the raw messages a second time and
     writes only the rejected ones).
 
+    ``state_partitions`` sets the partitions of the stateful operators at the
+    first start (default: the session's ``spark.sql.shuffle.partitions``).
+
     Each query has its own checkpoint and restarts alone. ``ui`` and ``store``
     start once ``fine`` has committed its first batch (the partials folder and
     its log then exist). ``trigger`` defaults to the 1-second micro-batch.
@@ -205,9 +222,10 @@ def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
     partials, ckpt = f"{root}/partials", f"{root}/_checkpoints"
     fine = fine_stream(impression_stream(messages, strict=strict, time_mode=time_mode, delay=delay),
                        fine_window)
-    queries = {"fine": fine.writeStream.queryName("fine").outputMode("append").format("parquet")
-               .option("path", partials).option("checkpointLocation", f"{ckpt}/fine")
-               .trigger(**trigger).start()}
+    with shuffle_partitions(spark, state_partitions):
+        queries = {"fine": fine.writeStream.queryName("fine").outputMode("append").format("parquet")
+                   .option("path", partials).option("checkpointLocation", f"{ckpt}/fine")
+                   .trigger(**trigger).start()}
     if rejects and not strict:
         raw = messages.withColumn("raw", F.col("value"))
         bad = codec.rejects(codec.decode_permissive(raw, keep=("key", "arrival", "raw")))
@@ -226,8 +244,10 @@ def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
                      .foreachBatch(metrics_writer(f"{root}/metrics")).trigger(**trigger).start())
     coarse = agg.merge_partials(partials_stream(spark, partials, schema, delay), coarse_window,
                                         fine_window=fine_window, time_col="fine_time")
-    queries["store"] = (agg.finalise(coarse).writeStream.queryName("store").outputMode("append")
-                        .option("checkpointLocation", f"{ckpt}/store")
-                        .foreachBatch(batch_writer(f"{root}/store", counts_path=f"{root}/store_counts"))
-                        .trigger(**trigger).start())
+    with shuffle_partitions(spark, state_partitions):
+        queries["store"] = (agg.finalise(coarse).writeStream.queryName("store").outputMode("append")
+                            .option("checkpointLocation", f"{ckpt}/store")
+                            .foreachBatch(batch_writer(f"{root}/store",
+                                                       counts_path=f"{root}/store_counts"))
+                            .trigger(**trigger).start())
     return queries
