@@ -1,7 +1,8 @@
 from adpulse.sources.tables import read_table
-from adpulse.sources.impressions import impressions_from_events, known_geo
-from adpulse.sources.codec import (decode_permissive, decode_strict, encode_messages,
-                                   rejects, accepted)
+from adpulse.sources.impressions import impression_columns, impressions_from_events, known_geo
+from adpulse.sources.codec import (accepted, decode_permissive, decode_strict, encode_messages,
+                                   rejects)
+from adpulse.sources.sinks import (batch_writer, decode_dates, encode_dates, retried,
+                                   stored_count, write_partials, write_results)
 
-__all__ = ["read_table", "impressions_from_events", "known_geo", "encode_messages",
-           "decode_strict", "decode_permissive", "rejects", "accepted"]
+__all__ = [n for n in dir() if not n.startswith("_")]
