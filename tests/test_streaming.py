@@ -153,3 +153,23 @@ def test_slices_smaller_than_parallelism(spark):
     assert rows(got, *COLS) == rows(want, *COLS)
     assert sum(1 for p in progress if p["numInputRows"] > 0) == 3
     assert jobs.rows_dropped_by_watermark(progress) == 0
+
+
+def test_watermark_delay_accepts_late_slice(spark):
+    """Slice 1 arrives after slice 2 but within the 15-day delay: nothing is
+    dropped, and windows ending at least 15 days before the last event are
+    emitted with all of their impressions."""
+    folder = work_dir(spark, "t-delay")
+
+    def build(src):
+        return agg.finalise(jobs.fine_stream(jobs.impression_stream(src, delay="15 days"), COARSE))
+
+    sink, progress = jobs.run_slices(spark, streams.messages(spark, SF_SMALL), 5, build, folder,
+                                     order=(0, 2, 1, 3, 4))
+    assert jobs.rows_dropped_by_watermark(progress) == 0
+    imp = known_geo(impressions(spark, SF_SMALL))
+    mx = imp.agg(F.max("timestamp")).first()[0] - 15 * 86_400_000
+    want = agg.window_aggregate(imp, COARSE).where(F.expr(
+        f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', window_end) <= {mx}"))
+    got = spark.read.parquet(sink).drop("batch_id")
+    assert rows(got, *COLS) == rows(want, *COLS)
