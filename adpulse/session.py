@@ -51,14 +51,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; it is
-    read from the session. Only when it is unset (local tests) a temporary
-    folder is created and registered as the checkpoint directory.
+    read from the session. Only when it is unset and the master is local
+    (tests) a temporary folder is created and registered as the checkpoint
+    directory; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="adpulse-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
