@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +64,21 @@ def uniform(*parts) -> Column:
     """A double in [0, 1) that follows from the parts alone."""
     bits = F.shiftrightunsigned(F.xxhash64(*parts), 11)
     return bits.cast("double") * F.lit(2.0 ** -53)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors once per application, so
+    that functions for their Python workers can be imported there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix=f"{package.name}-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)

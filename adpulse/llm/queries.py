@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import exact_dedup, mixing, sharding
+from adpulse.llm import bpe, exact_dedup, mixing, sharding, simhash
 from adpulse.llm.common import documents
 
 SHARDS = 24
@@ -20,6 +20,24 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def vocabulary() -> tuple[bytes, str]:
+    """Content of the public vocabulary file and the pattern of its pieces."""
+    import public_tokenizers
+    return bpe.read_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content, pattern = vocabulary()
+    encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), content, pattern).select("doc_id", "ids", "n_tokens")
+    decoded = bpe.decode(encoded, content, pattern)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return simhash.near_duplicates(docs, carry=["doc_id"]).select("doc_id", "fingerprint", "component_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return exact_dedup.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -32,6 +50,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op3_bpe": op3_bpe,
+    "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adpulse.llm import common, exact_dedup, mixing
+from adpulse.llm import bpe, common, exact_dedup, mixing, queries, simhash
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,12 +17,24 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.without_near_duplicates(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in proportion to their weights, whole epochs repeated."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("exact dedup", exact), ("mixing sources to target weights", mix)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids and what these decode to."""
+    content, pattern = queries.vocabulary()
+    return bpe.decode(bpe.encode(docs, content, pattern), content, pattern)
+
+
+STAGES = [("exact dedup", exact), ("SimHash near-dedup", near), ("mixing sources to target weights", mix),
+          ("byte-level BPE encoding and decoding", tokens)]
 
 # Trained models, bit distances and byte-pair merges are beyond SQL; the tests
 # compare each stage with a plain version instead.
