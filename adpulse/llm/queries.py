@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import bpe, exact_dedup, mixing, sharding, simhash
+from adpulse.llm import bpe, exact_dedup, mixing, sharding, simhash, substring
 from adpulse.llm.common import documents
 
 SHARDS = 24
@@ -48,12 +48,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return substring.remove_repeats(docs, carry=["doc_id"]).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op8_substring": op8_substring,
 }
 
 ORACLE_SQL = {
@@ -83,4 +89,15 @@ ORACLE_SQL = {
         SELECT doc_id, size::BIGINT AS size, source_size, target,
                (epochs * size + greatest(0, least(size, budget - epochs * source_size - before)))::BIGINT AS taken
         FROM x""",
+    "op8_substring": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        w AS (SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS seq
+              FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM d)),
+        f AS (SELECT seq, min(doc_id) AS first FROM w GROUP BY seq),
+        gone AS (SELECT DISTINCT w.doc_id, pos + k AS pos FROM w JOIN f USING (seq), range(13) r(k) WHERE w.doc_id > f.first),
+        p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+        k AS (SELECT p.doc_id, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY p.pos) FILTER (gone.pos IS NULL) AS kept
+              FROM p LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.pos = p.pos GROUP BY p.doc_id)
+        SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
 }
