@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import bpe, exact_dedup, mixing, sharding, simhash, substring
+from adpulse.llm import bpe, exact_dedup, line_dedup, mixing, quality_rules, sharding, simhash, substring
 from adpulse.llm.common import documents
 
 SHARDS = 24
@@ -53,6 +53,16 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs, carry=["doc_id"]).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return judged.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join("removed_lines", ",").alias("removed_lines"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_bpe": op3_bpe,
@@ -60,6 +70,8 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op8_substring": op8_substring,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
@@ -100,4 +112,21 @@ ORACLE_SQL = {
               FROM p LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.pos = p.pos GROUP BY p.doc_id)
         SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)""",
+    "op10_line_dedup": r"""
+        WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        u AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS no FROM t),
+        l AS (SELECT doc_id, no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS words,
+                     row_number() OVER (ORDER BY doc_id, no) AS place FROM u),
+        s AS (SELECT *, array_to_string(words, ' ') AS seq FROM l WHERE len(words) > 0),
+        d AS (SELECT seq, min(place) AS place, any_value(words) AS words FROM s GROUP BY seq),
+        v AS (SELECT seq, place, i, array_to_string(list_concat(words[:i], words[i + 2:]), ' ') AS rest
+              FROM (SELECT *, unnest(range(len(words))) AS i FROM d WHERE len(words) >= 8)
+              UNION ALL SELECT seq, place, -1, seq FROM d WHERE len(words) >= 8),
+        m AS (SELECT rest, i, min(place) AS least FROM v GROUP BY rest, i),
+        near AS (SELECT DISTINCT v.seq FROM v JOIN m ON v.rest = m.rest AND (v.i = m.i OR v.i = -1 OR m.i = -1) WHERE m.least < v.place),
+        j AS (SELECT s.doc_id, s.no, s.place > d.place AS again, near.seq IS NOT NULL AS near
+              FROM s JOIN d USING (seq) LEFT JOIN near USING (seq))
+        SELECT t.doc_id, count(j.no) AS n_lines, count(*) FILTER (again) AS n_exact, count(*) FILTER (near AND NOT again) AS n_near,
+               coalesce(string_agg(CAST(j.no AS VARCHAR), ',' ORDER BY j.no) FILTER (again OR near), '') AS removed_lines
+        FROM t LEFT JOIN j USING (doc_id) GROUP BY t.doc_id""",
 }
