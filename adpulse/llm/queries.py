@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import bpe, exact_dedup, line_dedup, mixing, quality_rules, sharding, simhash, substring
-from adpulse.llm.common import documents
+from adpulse.llm import (bpe, exact_dedup, line_dedup, mixing, quality_model, quality_rules, sharding, simhash, substring,
+                         toxicity)
+from adpulse.llm.common import documents, stored
 
 SHARDS = 24
 
@@ -20,6 +21,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    return toxicity.toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def vocabulary() -> tuple[bytes, str]:
     """Content of the public vocabulary file and the pattern of its pieces."""
     import public_tokenizers
@@ -28,8 +35,8 @@ def vocabulary() -> tuple[bytes, str]:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     content, pattern = vocabulary()
-    encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), content, pattern).select("doc_id", "ids", "n_tokens")
-    decoded = bpe.decode(encoded, content, pattern)
+    encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), content, pattern)
+    decoded = bpe.decode(stored(encoded.select("doc_id", "ids", "n_tokens"), "tokens"), content, pattern)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -48,6 +55,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model, _ = quality_model.fit(docs)
+    return quality_model.quality(docs, model).select("doc_id", "score", "kept")
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return substring.remove_repeats(docs, carry=["doc_id"]).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -65,10 +78,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_toxicity": op2_toxicity,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_quality_model": op7_quality_model,
     "op8_substring": op8_substring,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,

@@ -9,7 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adpulse.llm import bpe, common, exact_dedup, mixing, queries, simhash
+from adpulse.llm import bpe, common, exact_dedup, mixing, quality_model, queries, simhash
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality_model.good_documents(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +35,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids and what these decode to."""
     content, pattern = queries.vocabulary()
-    return bpe.decode(bpe.encode(docs, content, pattern), content, pattern)
+    return bpe.decode(common.stored(bpe.encode(docs, content, pattern), "corpus-tokens"), content, pattern)
 
 
-STAGES = [("exact dedup", exact), ("SimHash near-dedup", near), ("mixing sources to target weights", mix),
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("SimHash near-dedup", near),
+          ("mixing sources to target weights", mix),
           ("byte-level BPE encoding and decoding", tokens)]
 
 # Trained models, bit distances and byte-pair merges are beyond SQL; the tests
