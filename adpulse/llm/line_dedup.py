@@ -51,12 +51,9 @@ def _neighbours(first: DataFrame, docs: DataFrame) -> DataFrame:
     open_lines = (halves.join(shared, "half").groupBy("h1", "h2", "first")
                   .agg(F.min(F.when(F.col("half.side") == 0, F.col("half.q"))).alias("head"),
                        F.min(F.when(F.col("half.side") == 1, F.col("half.q"))).alias("tail")))
-    wanted = open_lines.groupBy(F.col("first.ord").alias("ord"), F.col("first.key").alias("key")).agg(
-        F.collect_list(F.struct("first.no", "h1", "h2", "head", "tail")).alias("wanted"))
-    words = (docs.join(wanted, ["ord", "key"]).dropDuplicates(["ord", "key"])
-             .withColumn("line", F.split("text", "\n", -1))
-             .select("ord", "key", F.explode("wanted").alias("w"), "line")
-             .select("ord", "key", "w.*", F.posexplode(F.regexp_extract_all(F.element_at("line", F.col("w.no") + 1), F.lit(WORD), F.lit(0))).alias("i", "word")))
+    wanted = open_lines.select("first.ord", "first.key", "first.no", "h1", "h2", "head", "tail")
+    words = (_lines(docs).join(wanted, ["ord", "key", "no"]).dropDuplicates(["ord", "key", "no"])
+             .select("ord", "key", "no", "h1", "h2", "head", "tail", F.posexplode("words").alias("i", "word")))
     line = Window.partitionBy("ord", "key", "no")
     back, ahead = (line.orderBy("i").rowsBetween(Window.unboundedPreceding, -1),
                    line.orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, -1))
@@ -76,11 +73,10 @@ def _neighbours(first: DataFrame, docs: DataFrame) -> DataFrame:
     variants = stored(variants, "lines-variants")
     at_place = variants.groupBy("v1", "v2", "i").agg(F.min("first").alias("least"))
     # a whole line (place -1) meets the longer lines of its key, and they meet it
-    by_key = at_place.groupBy("v1", "v2").agg(
-        F.collect_list(F.struct("i", "least")).alias("places"))
-    keyed = by_key.where(F.size("places") > 0).select("v1", "v2", F.explode("places").alias("p"), "places").select(
-        "v1", "v2", "p.i", F.array_min(F.transform(
-            F.filter("places", lambda x: (x["i"] == F.col("p.i")) | (x["i"] == -1) | (F.col("p.i") == -1)), lambda x: x["least"])).alias("least"))
+    key = Window.partitionBy("v1", "v2")
+    whole = F.min(F.when(F.col("i") == -1, F.col("least"))).over(key)
+    keyed = at_place.select("v1", "v2", "i", F.when(F.col("i") == -1, F.min("least").over(key)).otherwise(
+        F.least("least", whole)).alias("least"))
     return (variants.join(keyed, ["v1", "v2", "i"]).where(F.col("least") < F.col("first"))
             .select("h1", "h2").distinct())
 
