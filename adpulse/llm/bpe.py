@@ -22,7 +22,7 @@ from __future__ import annotations
 import base64
 import itertools
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 from adpulse.llm.common import packed, quoted, ship, unpacked
 
 LONG_PIECE = 64          # bytes
-TEXT_AT_ONCE = 3 << 20   # characters of texts that are cut before a query
+TEXT_AT_ONCE = 1 << 21   # characters of texts that are cut before a query
 PIECES_AT_ONCE = 400_000
-REMEMBERED = 400_000     # pieces whose ids a process keeps
-TOKENS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 50_000   # pieces of one query
+REMEMBERED = 120_000     # pieces of a generation; a process keeps the ids of two
+TOKENS_AT_ONCE = 1 << 18
 
 SHORT = """
     WITH RECURSIVE state(word, toks) USING KEY (word) AS (
@@ -105,24 +106,33 @@ class Codec:
 
     def __init__(self, content: bytes, pattern: str):
         import duckdb
-        import pyarrow as pa
         import regex
 
         self.ranks = read_ranks(content)
         self.find = regex.compile(pattern)
-        self.first = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
-        left, right, merged, safe = zip(*merge_table(self.ranks))
-        tables = {
-            "merges": pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()),
-                                "merged": pa.array(merged, pa.int64()), "safe": pa.array(safe)}),
-            "vocabulary": pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()),
-                                    "piece": [t.decode("latin-1") for t in self.ranks]})}
-        for name, table in tables.items():
-            self.db.register("given", table)
-            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-            self.db.unregister("given")
+
+    def _table(self, name: str, **columns) -> None:
+        import pyarrow as pa
+
+        self.db.register("given", pa.table(columns))
+        self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+        self.db.unregister("given")
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        """Id of each byte; the merge table is made along with it."""
+        left, right, merged, safe = map(np.array, zip(*merge_table(self.ranks)))
+        self._table("merges", l=left.astype(np.int32), r=right.astype(np.int32), merged=merged.astype(np.int64), safe=safe)
+        return np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+
+    @cached_property
+    def vocabulary(self) -> int:
+        """Size of the vocabulary, whose table is made along with it."""
+        self._table("vocabulary", id=np.array(list(self.ranks.values()), dtype=np.int32), piece=[t.decode("latin-1") for t in self.ranks])
+        return len(self.ranks)
 
     def _query(self, sql: str, name: str, keys: str, lists: str, counts: np.ndarray, values: np.ndarray):
         import pyarrow as pa
@@ -149,18 +159,20 @@ class Codec:
     def learn(self, pieces: Iterable[str]) -> None:
         """Ids of the pieces that are not known yet."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = set(pieces).difference(self.known)
+            self.older, self.known = self.known, {}
         short, long = [], []
-        for piece in new:
+        for piece in set(pieces).difference(self.known):
+            if piece in self.older:
+                self.known[piece] = self.older[piece]
+                continue
             raw = piece.encode()
             if raw in self.ranks:
                 self.known[piece] = self.ranks[raw].to_bytes(4, "little")
             else:
                 (short if len(raw) <= LONG_PIECE else long).append((piece, raw))
         for sql, some in ((SHORT, short), (LONG, long)):
-            for at in range(0, len(some), 100_000):
-                part = some[at:at + 100_000]
+            for at in range(0, len(some), WORDS_AT_ONCE):
+                part = some[at:at + WORDS_AT_ONCE]
                 self.known.update(zip([p for p, _ in part], self._merge(sql, [raw for _, raw in part])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -192,7 +204,7 @@ class Codec:
                 runs.append(np.frombuffer(ids[at:at + 4 * TOKENS_AT_ONCE], dtype="<u4").astype(np.int32))
                 owner.append(k)
         out = [b""] * len(encoded)
-        at = 0
+        at = 0 if self.vocabulary else len(runs)
         while at < len(runs):
             size, stop = 0, at
             while stop < len(runs) and (stop == at or size + len(runs[stop]) <= TOKENS_AT_ONCE):
