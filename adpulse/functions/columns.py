@@ -57,9 +57,10 @@ def ltz_from_millis(ms) -> Column:
     return F.timestamp_millis(_col(ms))
 
 
-def truncated_int(x, digits: int = 6) -> Column:
-    """Truncate a non-negative double to an int, after rounding away float noise."""
-    return F.floor(F.round(_col(x), digits)).cast("int")
+def truncated_int(x, digits: int | None = None) -> Column:
+    """Truncate a non-negative double to an int; with ``digits``, after
+    rounding float noise away at so many decimals."""
+    return F.floor(_col(x) if digits is None else F.round(_col(x), digits)).cast("int")
 
 
 def _sql(c) -> str:

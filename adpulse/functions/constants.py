@@ -9,22 +9,17 @@ and the ingest report step. They are listed plainly and in their natural order.
 # Fixed values (domain of an impression)
 GEOS = ("NY", "CA", "FL", "CO", "HI", "unknown")
 UNKNOWN_GEO = "unknown"
-KNOWN_GEOS = ("NY", "CA", "FL", "CO", "HI")
 NUM_PUBLISHERS = 5
 NUM_ADVERTISERS = 3
 NUM_WEBSITES = 10000
-NUM_COOKIES = 10000
 
 # Fixed values (aggregation)
 HLL_LG_K = 12  # 2^12 registers, about 1.6 % standard error
-FINE_WINDOW = "1 second"
-COARSE_WINDOW = "10 seconds"
 
 # Fixed values (dashboard)
 CHART_GEO_ORDER = ("CO", "CA", "FL", "HI", "NY")
 CHART_CEILING = 40
 CHART_WINDOW_SIZE = 30
-CHART_HISTORY_SIZE = 60
 INGEST_REPORT_STEP = 100
 
 # Fixed values (metric targets of the envelope)
@@ -34,17 +29,15 @@ TARGET_PUB_GEO_COUNT = "pubGeoCount"
 TARGET_STORED_COUNT = "mongoCount"
 TARGET_RAW_COUNT = "rawCount"
 TARGET_FILE_LOGS = "logs"
-COUNTER_TARGETS = (TARGET_RAW_COUNT, TARGET_PUB_GEO_COUNT, TARGET_STORED_COUNT)
 
 # The impression message: all seven fields are required.
 IMPRESSION_FIELDS = ("timestamp", "publisher", "advertiser", "website", "geo", "bid", "cookie")
-IMPRESSION_DDL = ("timestamp BIGINT, publisher STRING, advertiser STRING, website STRING, "
-                  "geo STRING, bid DOUBLE, cookie STRING")
 
-# Bids are summed as exact decimals so sums do not depend on the order in
-# which partitions are merged; 8 fractional digits hold any cent or
-# micro-unit price exactly.
-BID_SUM_TYPE = "decimal(24,8)"
+# For tables whose bids have at most 8 decimals: sums as this type, and shares
+# rounded to so many decimals before they are truncated, do not depend on the
+# order in which partitions are merged.
+EXACT_BID_TYPE = "decimal(24,8)"
+EXACT_SHARE_DIGITS = 6
 
 # Windows scaled for the sparse test tables (1 s -> 1 h, 10 s -> 10 h, same 1:10).
 TEST_FINE_WINDOW = "1 hour"

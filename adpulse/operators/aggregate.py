@@ -1,8 +1,8 @@
 """Windowed impression aggregates over mergeable partials.
 
 A partial row is (window, publisher, geo, first_ts, sum_bids, imps,
-uniques_sketch). Every part merges associatively (min, exact decimal sum, sum,
-HLL union), so:
+uniques_sketch). Every part merges associatively (min, sum, sum, HLL
+union), so:
 
 * Spark runs a partial HashAggregate before the shuffle - a hot
   (publisher, geo, window) key costs one row per map task, not one per event;
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from adpulse.functions.columns import duration_seconds, ltz_to_ntz, ntz_from_millis
-from adpulse.functions.constants import BID_SUM_TYPE, HLL_LG_K
+from adpulse.functions.constants import HLL_LG_K
 
 KEYS = ("publisher", "geo")
 PARTIAL_COLS = ("window", "publisher", "geo", "first_ts", "sum_bids", "imps", "uniques_sketch")
@@ -35,16 +35,18 @@ def _window(time_col: Column, length: str, slide: str | None) -> Column:
 
 def fine_partials(impressions: DataFrame, window: str, slide: str | None = None,
                   time_col: Column | str | None = None, keys=KEYS,
-                  lg_k: int = HLL_LG_K) -> DataFrame:
-    """Per key and window: earliest timestamp, exact bid sum, impressions and a
+                  lg_k: int = HLL_LG_K, bid_type: str = "double") -> DataFrame:
+    """Per key and window: earliest timestamp, bid sum, impressions and a
     distinct-cookie sketch. ``time_col`` defaults to the event time; pass the
-    arrival time column for arrival-time windows."""
+    arrival time column for arrival-time windows. Bids are summed as doubles;
+    a decimal ``bid_type`` gives sums that do not depend on the order, for bids
+    that have no more digits than it."""
     t = F.col(time_col) if isinstance(time_col, str) else (
         time_col if time_col is not None else event_time())
     return (impressions
             .groupBy(*keys, _window(t, window, slide).alias("window"))
             .agg(F.min("timestamp").alias("first_ts"),
-                 F.sum(F.col("bid").cast(BID_SUM_TYPE)).alias("sum_bids"),
+                 F.sum(F.col("bid").cast(bid_type)).alias("sum_bids"),
                  F.count(F.lit(1)).alias("imps"),
                  F.hll_sketch_agg("cookie", lg_k).alias("uniques_sketch"))
             .select("window", *keys, "first_ts", "sum_bids", "imps", "uniques_sketch"))
@@ -106,10 +108,23 @@ def finalise(partials: DataFrame, keys=KEYS) -> DataFrame:
     )
 
 
+def averages(partials: DataFrame, keys=KEYS) -> DataFrame:
+    """(window_start, window_end, publisher, geo, imps, avg_bids): what the
+    per-window metrics read of a result."""
+    return partials.select(*window_bounds(partials), *keys, "imps",
+                           (F.col("sum_bids").cast("double") / F.col("imps")).alias("avg_bids"))
+
+
+def coarse_groups(partials: DataFrame, window: str, keys=KEYS) -> DataFrame:
+    """One row per group of the coarse windows: what counting them reads."""
+    groups = partials.groupBy(*keys, F.window(F.window_time("window"), window).alias("window")).agg(F.sum("imps").alias("imps"))
+    return groups.select(*window_bounds(groups), *keys, "imps")
+
+
 def window_aggregate(impressions: DataFrame, window: str, slide: str | None = None,
-                     time_col=None, keys=KEYS) -> DataFrame:
+                     time_col=None, keys=KEYS, bid_type: str = "double") -> DataFrame:
     """One-step fine aggregate, finalised."""
-    return finalise(fine_partials(impressions, window, slide, time_col, keys), keys)
+    return finalise(fine_partials(impressions, window, slide, time_col, keys, bid_type=bid_type), keys)
 
 
 def sliding_from_partials(partials: DataFrame, length: str, slide: str,
@@ -126,7 +141,10 @@ def uniques(impressions: DataFrame, keys=KEYS, lg_k: int = HLL_LG_K) -> DataFram
             .agg(F.hll_sketch_estimate(F.hll_sketch_agg("cookie", lg_k)).alias("uniques")))
 
 
-def uniques_one_shot(impressions: DataFrame, keys=KEYS, rsd: float = 0.0163) -> DataFrame:
+ONE_SHOT_RSD = 0.0163  # relative standard error of 2^12 registers
+
+
+def uniques_one_shot(impressions: DataFrame, keys=KEYS, rsd: float = ONE_SHOT_RSD) -> DataFrame:
     """The one-shot HyperLogLog++ form (not mergeable; same relative error as
     2^12 registers). Approximate even for small groups."""
     return impressions.groupBy(*keys).agg(F.approx_count_distinct("cookie", rsd).alias("uniques"))

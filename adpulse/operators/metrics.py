@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from adpulse.functions.columns import epoch_seconds, truncated_int
 from adpulse.functions.constants import (CHART_CEILING, CHART_GEO_ORDER, CHART_WINDOW_SIZE,
-                                         INGEST_REPORT_STEP, TARGET_GEO_AVG_BIDS,
+                                         INGEST_REPORT_STEP, TARGET_FILE_LOGS, TARGET_GEO_AVG_BIDS,
                                          TARGET_GEO_IMPS, TARGET_PUB_GEO_COUNT,
                                          TARGET_RAW_COUNT, TARGET_STORED_COUNT)
 from adpulse.operators.aggregate import event_time, window_bounds
@@ -30,12 +30,24 @@ def geo_impressions(results: DataFrame, by: Sequence[str] = WINDOW_COLS) -> Data
     return results.groupBy(*by, "geo").agg(F.sum("imps").alias("imps"))
 
 
-def group_count(results: DataFrame, by: Sequence[str] = WINDOW_COLS) -> DataFrame:
-    """Number of (publisher, geo) groups per window."""
-    return results.groupBy(*by).agg(F.count(F.lit(1)).alias("pub_geo_count"))
-
-
-def geo_bid_share(results: DataFrame, by: Sequence[str] = WINDOW_COLS) -> DataFrame:
+def group_count(results: DataFrame, by: Sequence[str] = WINDOW_COLS, fill: str | None = None) -> DataFrame:
+    """Number of (publisher, geo) groups per window. With ``fill``, the length
+    of the windows, a window between the first and the last that has no group
+    counts 0 (only the two bounds meet in one task; the windows between them
+    are generated from these)."""
+    counts = results.groupBy(*by).agg(F.count(F.lit(1)).alias("pub_geo_count"))
+    if fill is None:
+        return counts
+    step = F.expr(f"INTERVAL {fill}")
+    bounds = results.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).where("lo IS NOT NULL")
+    every = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("window_start"))
+    return (every.join(counts.select("window_start", "pub_geo_count"), "window_start", "left")
+            .select("window_start", (F.col("window_start") + step).alias("window_end"),
+                    F.coalesce("pub_geo_count", F.lit(0)).alias("pub_geo_count")))
+
+
+def geo_bid_share(results: DataFrame, by: Sequence[str] = WINDOW_COLS,
+                  digits: int | None = None) -> DataFrame:
     """Per window and geo: ``int(sum(avg_bids of the geo's groups) * 100 / groups in the window)``.
 
     The denominator is the group count of the whole window, not of the geo, so
@@ -43,18 +55,18 @@ def geo_bid_share(results: DataFrame, by: Sequence[str] = WINDOW_COLS) -> DataFr
     (they add up to about 100 x the mean). ``ts`` stamps the point with the
     window end in epoch seconds.
 
-    The results are hash-partitioned by window once; the per-(window, geo)
-    aggregate and the per-window total then need no further shuffle.
+    Groups are summed per (window, geo) before the first shuffle; the window's
+    total then adds up one row per geo. ``digits`` as in ``truncated_int``.
     """
-    per_geo = results.repartition(*by).groupBy(*by, "geo").agg(
+    per_geo = results.groupBy(*by, "geo").agg(
         F.sum("avg_bids").alias("_s"), F.count(F.lit(1)).alias("_c"))
     n = F.sum("_c").over(Window.partitionBy(*by))
     return per_geo.select(*by, epoch_seconds("window_end").alias("ts"), "geo",
-                          truncated_int(F.col("_s") * 100 / n).alias("share"))
+                          truncated_int(F.col("_s") * 100 / n, digits).alias("share"))
 
 
 def geo_bid_share_wide(results: DataFrame, geos: Sequence[str] = CHART_GEO_ORDER,
-                       by: Sequence[str] = WINDOW_COLS) -> DataFrame:
+                       by: Sequence[str] = WINDOW_COLS, digits: int | None = None) -> DataFrame:
     """The bid share as one row per window with a column per geo in chart
     order (0 when a geo has no group). One aggregation, no analytic window
     function, so it also runs on a stream."""
@@ -64,7 +76,7 @@ def geo_bid_share_wide(results: DataFrame, geos: Sequence[str] = CHART_GEO_ORDER
         agg = agg.select(*window_bounds(agg), "_n", *[f"_s_{g}" for g in geos])
         by = WINDOW_COLS
     return agg.select(*by, epoch_seconds("window_end").alias("ts"),
-                      *[truncated_int(F.coalesce(F.col(f"_s_{g}"), F.lit(0.0)) * 100 / F.col("_n")).alias(g)
+                      *[truncated_int(F.coalesce(F.col(f"_s_{g}"), F.lit(0.0)) * 100 / F.col("_n"), digits).alias(g)
                         for g in geos])
 
 
@@ -206,7 +218,7 @@ def ingest_reports(per_window: DataFrame, step: int = INGEST_REPORT_STEP) -> Dat
 
 # -- envelope and routing ---------------------------------------------------------
 
-def window_metrics(results: DataFrame) -> DataFrame:
+def window_metrics(results: DataFrame, digits: int | None = None) -> DataFrame:
     """The three per-window dashboard metrics as envelope rows, from two
     aggregations: per (window, geo), then per window (whose lists hold one
     entry per geo). Each window row is exploded into its three targets:
@@ -215,9 +227,7 @@ def window_metrics(results: DataFrame) -> DataFrame:
     * geoImpsCounts: [{key, count}] impressions per geo, sorted by key;
     * geoAvgBids: {ts, data: [{key, count}]} bid share per geo (O30).
     """
-    # one shuffle by window serves both aggregations (a window holds at most
-    # publishers x geos result rows)
-    per_geo = results.repartition(*WINDOW_COLS).groupBy(*WINDOW_COLS, "geo").agg(
+    per_geo = results.groupBy(*WINDOW_COLS, "geo").agg(
         F.sum("imps").alias("imps"), F.sum("avg_bids").alias("s"), F.count(F.lit(1)).alias("c"))
     per_win = per_geo.groupBy(*WINDOW_COLS).agg(
         F.sum("c").alias("n"),
@@ -227,7 +237,7 @@ def window_metrics(results: DataFrame) -> DataFrame:
         .alias("share_parts"))
     ts = epoch_seconds("window_end")
     shares = F.transform("share_parts", lambda x: F.struct(
-        x["key"].alias("key"), truncated_int(x["s"] * 100 / F.col("n")).alias("count")))
+        x["key"].alias("key"), truncated_int(x["s"] * 100 / F.col("n"), digits).alias("count")))
     rows = F.array(
         F.struct(F.lit(TARGET_PUB_GEO_COUNT).alias("target"), F.col("n").cast("string").alias("data")),
         F.struct(F.lit(TARGET_GEO_IMPS).alias("target"), F.to_json("imps_list").alias("data")),
@@ -238,7 +248,7 @@ def window_metrics(results: DataFrame) -> DataFrame:
 
 
 def metric_envelope(results: DataFrame, stored: DataFrame | None = None,
-                    ingest: DataFrame | None = None) -> DataFrame:
+                    ingest: DataFrame | None = None, digits: int | None = None) -> DataFrame:
     """All dashboard metrics as (target, ts, data JSON) rows, one sink/topic:
     the per-window metrics of ``window_metrics``, plus
 
@@ -247,7 +257,7 @@ def metric_envelope(results: DataFrame, stored: DataFrame | None = None,
     ``ts`` is the window end in epoch seconds.
     """
     ts = epoch_seconds("window_end").alias("ts")
-    out = window_metrics(results)
+    out = window_metrics(results, digits)
     if stored is not None:
         out = out.unionByName(group_count(stored).select(
             F.lit(TARGET_STORED_COUNT).alias("target"), ts,
@@ -260,6 +270,7 @@ def metric_envelope(results: DataFrame, stored: DataFrame | None = None,
 
 
 _PAIRS = "array<struct<key:string,count:bigint>>"
+_FILES = "array<struct<id:string,size:bigint,storage:bigint>>"
 _POINT = "struct<ts:bigint,data:array<struct<key:string,count:bigint>>>"
 
 
@@ -272,24 +283,37 @@ def route_by_target(envelope: DataFrame,
     * counters -> one row, key = target, value = the number;
     * geoImpsCounts -> one row per geo;
     * geoAvgBids -> one row per geo, stamped with the payload's ``ts``;
-    * anything else -> one row with handled = false (the reject output).
+    * logs -> one row per file, key = its id, value = its storage ratio;
+    * a payload that cannot be read, or another target -> one row with
+      handled = false (the reject output).
     """
     t = F.col("target")
     # each payload is parsed once: the parsed point passes a one-element explode
     point = F.when(t == TARGET_GEO_AVG_BIDS, F.from_json("data", _POINT))
     parsed = envelope.select("target", "ts", "data", F.explode(F.array(point)).alias("_pt"))
-    one = F.array(F.struct(t.alias("key"), F.col("data").cast("bigint").alias("count")))
+    number = F.col("data").try_cast("bigint")
+    one = F.when(number.isNotNull(), F.array(F.struct(t.alias("key"), number.alias("count"))))
+    files = F.transform(F.from_json("data", _FILES), lambda x: F.struct(
+        x["id"].cast("string").alias("key"), F.floor(F.try_divide(x["storage"] * 100, x["size"])).alias("count")))
     pairs = (F.when(t.isin(*counters), one)
              .when(t == TARGET_GEO_IMPS, F.from_json("data", _PAIRS))
-             .when(t == TARGET_GEO_AVG_BIDS, F.col("_pt.data")))
+             .when(t == TARGET_GEO_AVG_BIDS, F.col("_pt.data"))
+             .when(t == TARGET_FILE_LOGS, files))
     stamp = F.when(t == TARGET_GEO_AVG_BIDS, F.col("_pt.ts")).otherwise(F.col("ts"))
-    handled = t.isin(*counters, TARGET_GEO_IMPS, TARGET_GEO_AVG_BIDS)
-    return (parsed.select("target", stamp.alias("ts"), handled.alias("handled"),
-                          F.explode_outer(pairs).alias("_p"))
+    return (parsed.select("target", stamp.alias("ts"), pairs.alias("_pairs"))
+            .select("target", "ts", F.col("_pairs").isNotNull().alias("handled"), F.explode_outer("_pairs").alias("_p"))
             .select("target", "ts", F.col("_p.key").alias("key"),
                     F.col("_p.count").alias("value"), "handled"))
 
 
+def envelope_messages(envelope: DataFrame) -> DataFrame:
+    """Each envelope row as one JSON message, ``{"data": ..., "target": ...}``
+    with the payload itself, not its text, in ``data``."""
+    return envelope.select("target", "ts", F.concat(
+        F.lit('{"data":'), F.col("data"), F.lit(',"target":'),
+        F.to_json(F.array("target")).substr(F.lit(2), F.length(F.to_json(F.array("target"))) - 2), F.lit("}")).alias("value"))
+
+
 def storage_ratio(files: DataFrame) -> DataFrame:
     """File metadata rows with ``ratio = storage * 100 / size``, newest first."""
     return (files.withColumn("ratio", F.try_divide(F.col("storage") * 100, F.col("size")))

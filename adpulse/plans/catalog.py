@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adpulse.functions.columns import epoch_millis, ntz_from_millis
-from adpulse.functions.constants import (TARGET_PUB_GEO_COUNT, TARGET_RAW_COUNT,
+from adpulse.functions.constants import (EXACT_BID_TYPE, EXACT_SHARE_DIGITS, TARGET_PUB_GEO_COUNT, TARGET_RAW_COUNT,
                                          TARGET_STORED_COUNT, TEST_COARSE_WINDOW,
                                          TEST_FINE_WINDOW)
 from adpulse.operators import aggregate as agg
@@ -28,21 +28,22 @@ from adpulse.sources.tables import read_table
 FINE = TEST_FINE_WINDOW
 COARSE = TEST_COARSE_WINDOW
 SLIDE = TEST_FINE_WINDOW
+GAP_WINDOW = "10 minutes"  # short enough to leave windows without events
+DIGITS = EXACT_SHARE_DIGITS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # -- shared building blocks -----------------------------------------------------------
 
-def impressions(spark: SparkSession, base: str, key: bool = False, spread: bool = False) -> DataFrame:
-    """Impressions of the whole ``events`` table. ``spread`` for JSON-heavy
-    per-row work (see ``read_table``); aggregations do not need it, their
-    partial aggregate runs right after the scan."""
-    return impressions_from_events(read_table(spark, base, "events", spread=spread), key=key)
+def impressions(spark: SparkSession, base: str, key: bool = False) -> DataFrame:
+    """Impressions of the whole ``events`` table."""
+    return impressions_from_events(read_table(spark, base, "events"), key=key)
 
 
 def fine_partials(spark: SparkSession, base: str) -> DataFrame:
-    return agg.fine_partials(known_geo(impressions(spark, base)), FINE)
+    """Bids of ``events`` have two decimals: their sums are exact."""
+    return agg.fine_partials(known_geo(impressions(spark, base)), FINE, bid_type=EXACT_BID_TYPE)
 
 
 def fine_results(spark: SparkSession, base: str) -> DataFrame:
@@ -57,30 +58,29 @@ def coarse_results(spark: SparkSession, base: str) -> DataFrame:
 
 def q_decode_encode_roundtrip(spark, base):
     """Records -> JSON messages -> strict decode: all seven typed fields back."""
-    msgs = codec.encode_messages(impressions(spark, base, spread=True))
+    msgs = codec.encode_messages(impressions(spark, base))
     return codec.decode_strict(msgs)
 
 
 def damaged_messages(spark, base) -> DataFrame:
-    """Messages of ``error`` events are sent damaged, in one of four ways
-    picked by event id: not JSON, two fields missing, a string timestamp, a
-    string bid. All other messages are well formed. One scan, no join."""
-    ev = read_table(spark, base, "events", spread=True)
+    """Messages of ``error`` events are sent damaged, in one of ten ways picked
+    by event id: not JSON, two fields missing, or one field of another JSON
+    type. All other messages are well formed. One scan, no join."""
+    ev = read_table(spark, base, "events")
     imp = ev.select(F.col("event_id").cast("string").alias("key"), "event_type", "event_id",
                     *impression_columns())
     f = codec.IMPRESSION_FIELDS
     good = F.to_json(F.struct(*[F.col(x) for x in f]))
     no_bid_cookie = F.to_json(F.struct(*[F.col(x) for x in f if x not in ("bid", "cookie")]))
-    str_ts = F.to_json(F.struct(F.col("timestamp").cast("string").alias("timestamp"),
-                                *[F.col(x) for x in f[1:]]))
-    str_bid = F.to_json(F.struct(*[F.col(x).cast("string").alias(x) if x == "bid" else F.col(x)
-                                   for x in f]))
-    kind = F.col("event_id") % 4
+    odd = [("timestamp", F.col("timestamp").cast("string")), ("bid", F.col("bid").cast("string")),
+           ("publisher", F.lit(5)), ("cookie", F.struct(F.lit("y").alias("x"))), ("geo", F.array("geo")),
+           ("website", F.lit(True)), ("bid", F.lit("NaN")), ("bid", F.lit("Infinity"))]
+    kind = F.col("event_id") % (len(odd) + 2)
     value = (F.when(F.col("event_type") != "error", good)
              .when(kind == 0, F.concat(F.lit("not json "), F.col("key")))
-             .when(kind == 1, no_bid_cookie)
-             .when(kind == 2, str_ts)
-             .otherwise(str_bid))
+             .when(kind == 1, no_bid_cookie))
+    for k, (name, other) in enumerate(odd):
+        value = value.when(kind == k + 2, F.to_json(F.struct(*[other.alias(x) if x == name else F.col(x) for x in f])))
     return imp.select("key", value.alias("value"))
 
 
@@ -124,9 +124,12 @@ def q_uniques_estimate(spark, base):
 
 
 def q_uniques_one_shot(spark, base):
-    """Approximate: no exact oracle (checked against exact counts within its
-    error bound in tests)."""
-    return agg.uniques_one_shot(known_geo(impressions(spark, base)))
+    """The one-shot estimate is approximate: beside the exact count, whether
+    it lies within three standard errors (and one) of it."""
+    known = known_geo(impressions(spark, base))
+    both = agg.uniques_exact(known).join(agg.uniques_one_shot(known).withColumnRenamed("uniques", "estimate"), list(agg.KEYS))
+    bound = 3 * agg.ONE_SHOT_RSD * F.col("uniques") + 1
+    return both.select(*agg.KEYS, "uniques", (F.abs(F.col("estimate") - F.col("uniques")) <= bound).alias("within_bound"))
 
 
 def q_uniques_exact(spark, base):
@@ -144,21 +147,21 @@ def q_group_count(spark, base):
 
 
 def q_geo_bid_share(spark, base):
-    return met.geo_bid_share(fine_results(spark, base))
+    return met.geo_bid_share(fine_results(spark, base), digits=DIGITS)
 
 
 def q_geo_share_wide(spark, base):
-    return met.geo_bid_share_wide(fine_results(spark, base))
+    return met.geo_bid_share_wide(fine_results(spark, base), digits=DIGITS)
 
 
 def q_geo_share_pivot(spark, base):
     """Long bid shares pivoted into the fixed chart order."""
-    return met.pivot_fixed(met.geo_bid_share(fine_results(spark, base)),
+    return met.pivot_fixed(met.geo_bid_share(fine_results(spark, base), digits=DIGITS),
                            ["window_start", "window_end", "ts"], "geo", "share")
 
 
 def q_geo_share_long(spark, base):
-    return met.unpivot_series(met.geo_bid_share_wide(fine_results(spark, base)),
+    return met.unpivot_series(met.geo_bid_share_wide(fine_results(spark, base), digits=DIGITS),
                               ["window_start", "window_end", "ts"])
 
 
@@ -167,7 +170,7 @@ def q_row_ceiling(spark, base):
 
 
 def q_point_ceiling(spark, base):
-    return met.point_ceiling(met.geo_bid_share_wide(fine_results(spark, base)))
+    return met.point_ceiling(met.geo_bid_share_wide(fine_results(spark, base), digits=DIGITS))
 
 
 def metric_series(spark, base) -> DataFrame:
@@ -211,7 +214,7 @@ def q_geo_gauges(spark, base):
 
 
 def q_latest_n(spark, base):
-    series = met.unpivot_series(met.geo_bid_share_wide(fine_results(spark, base)),
+    series = met.unpivot_series(met.geo_bid_share_wide(fine_results(spark, base), digits=DIGITS),
                                 ["window_start", "window_end", "ts"])
     return met.latest_n(series, ["label"], "ts")
 
@@ -231,13 +234,31 @@ def q_ingest_counter(spark, base):
 def q_metric_envelope(spark, base):
     # fine partials over all geos feed all five metrics: events are scanned
     # once, the partials are written once and read back by each branch
-    every = materialize(agg.fine_partials(impressions(spark, base), FINE))
+    every = agg.fine_partials(impressions(spark, base), FINE, bid_type=EXACT_BID_TYPE)
+    every = materialize(every.select("window", *agg.KEYS, "imps", "sum_bids"))
     known = every.where(F.col("geo") != "unknown")
     per_window = (every.groupBy("window").agg(F.sum("imps").alias("messages"))
                   .select(*agg.window_bounds(every), "messages"))
-    return met.metric_envelope(agg.finalise(known),
-                               stored=agg.finalise(agg.merge_partials(known, COARSE, fine_window=FINE)),
-                               ingest=met.ingest_reports(per_window))
+    return met.metric_envelope(agg.averages(known), stored=agg.coarse_groups(known, COARSE),
+                               ingest=met.ingest_reports(per_window), digits=DIGITS)
+
+
+def q_envelope_messages(spark, base):
+    """The envelope as it is published: one JSON message a row."""
+    return met.envelope_messages(q_metric_envelope(spark, base))
+
+
+def q_full_precision_bids(spark, base):
+    """Average of bids that have all the digits of a double."""
+    known = known_geo(impressions(spark, base)).withColumn("bid", F.col("bid") / 7e6)
+    return agg.finalise(agg.fine_partials(known, FINE)).select(
+        "window_start", "publisher", "geo", F.round(F.col("avg_bids") * 1e6, 9).alias("micro_bids"))
+
+
+def q_group_count_filled(spark, base):
+    """Groups per 10-minute window, 0 for a window without any."""
+    results = agg.averages(agg.fine_partials(known_geo(impressions(spark, base)), GAP_WINDOW))
+    return met.group_count(results, fill=GAP_WINDOW)
 
 
 def q_route_by_target(spark, base):
@@ -263,11 +284,9 @@ def q_sink_timestamp_codec(spark, base):
 
 def _store_fine_results(spark, base) -> str:
     """Write the fine results to the store (dates as epoch ms, partitioned by
-    window date) twice - a rerun of the same job - and return the path."""
+    window date) and return the path."""
     path = work_dir(spark, "store") + "/results"
-    stored = encode_dates(materialize(fine_results(spark, base)))
-    write_results(stored, path)
-    write_results(stored, path)  # idempotent: replaces the same window dates
+    write_results(encode_dates(fine_results(spark, base)), path)
     return path
 
 
@@ -316,6 +335,9 @@ QUERIES: dict[str, Query] = {
     "ingest_counter": q_ingest_counter,
     "metric_envelope": q_metric_envelope,
     "route_by_target": q_route_by_target,
+    "envelope_messages": q_envelope_messages,
+    "full_precision_bids": q_full_precision_bids,
+    "group_count_filled": q_group_count_filled,
     "storage_ratio": q_storage_ratio,
     "sink_timestamp_codec": q_sink_timestamp_codec,
     "stored_results": q_stored_results,

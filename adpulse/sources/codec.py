@@ -2,8 +2,8 @@
 
 * ``encode_messages``: record -> compact JSON text (``value``), as a producer sends it.
 * ``decode_strict``: the reference behaviour - any malformed message fails the
-  job. ``from_json`` in FAILFAST mode rejects broken JSON and wrong types; it
-  lets missing fields through as null, so a null check raises for those.
+  job: broken JSON, a missing field, or a field of another JSON type (a number
+  or an object where a string belongs, text where a number belongs).
 * ``decode_permissive``: never fails; adds ``reject_reason`` (null when the
   message is valid) so one pass yields accepted rows and a reject side output.
 """
@@ -13,9 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.functions.constants import IMPRESSION_DDL, IMPRESSION_FIELDS
-
-CORRUPT_COL = "_corrupt_record"
+from adpulse.functions.constants import IMPRESSION_FIELDS
 
 
 def encode_messages(impressions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -24,43 +22,61 @@ def encode_messages(impressions: DataFrame, keep: tuple[str, ...] = ()) -> DataF
     return impressions.select(*keep, value)
 
 
-def _missing(parsed: Column) -> Column:
-    """Array of field names that are null in the parsed struct."""
-    return F.array_compact(F.array(*[F.when(parsed[f].isNull(), F.lit(f)) for f in IMPRESSION_FIELDS]))
+VALUE_ALIAS = "_value"
+
+# Spark type of each field and the JSON types, as a variant names them, that
+# a message may give it in.
+_NUMBER = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
+FIELD_TYPES = {name: ("string", "^STRING$") for name in IMPRESSION_FIELDS}
+FIELD_TYPES |= {"timestamp": ("bigint", "^(TINYINT|SMALLINT|INT|BIGINT)$"), "bid": ("double", _NUMBER)}
 
 
-def _parse_once(messages: DataFrame, parsed: Column, keep: tuple[str, ...]) -> DataFrame:
-    """Project the parsed struct as ``_m`` through a one-element ``explode``.
+def _parsed(messages: DataFrame, value_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """keep, _value, the seven fields and ``reject_reason``.
 
-    A generated column is a barrier for the optimizer: field accesses and
-    filters on ``_m`` are not inlined back into ``from_json`` (which would
-    parse the message once per reference), so every message is parsed once.
+    The message is parsed once, to a variant, which passes a one-element
+    ``explode``: a generated column is a barrier for the optimizer, so the
+    parse is not repeated for each field that is read from it.
     """
-    return messages.select(*keep, F.col(VALUE_ALIAS), F.explode(F.array(parsed)).alias("_m"))
+    src = messages.withColumnRenamed(value_col, VALUE_ALIAS) if value_col != VALUE_ALIAS else messages
+    once = src.select(*keep, VALUE_ALIAS, F.explode(F.array(F.try_parse_json(VALUE_ALIAS))).alias("_v"))
+    fields = once.select(*keep, VALUE_ALIAS, F.explode(F.array(F.struct(
+        F.schema_of_variant("_v").startswith("OBJECT").alias("_object"),
+        *[F.try_variant_get("_v", f"$.{name}", kind).alias(name) for name, (kind, _) in FIELD_TYPES.items()],
+        *[F.schema_of_variant(F.try_variant_get("_v", f"$.{name}", "variant")).alias(f"_type_{name}") for name in FIELD_TYPES],
+    ))).alias("_m"))
+    m = F.col("_m")
 
+    def named(condition):
+        return F.array_join(F.array_compact(F.array(*[
+            F.when(condition(name), F.lit(name)) for name in IMPRESSION_FIELDS])), ",")
 
-VALUE_ALIAS = "_value"
+    def absent(name):
+        return m[f"_type_{name}"].isNull() | (m[f"_type_{name}"] == "VOID")
+
+    def wrong(name):
+        # a value that its own type cannot hold, or that is not finite, is wrong, too
+        finite = F.abs(m["bid"]) < float("inf") if name == "bid" else m[name].isNotNull()
+        return ~absent(name) & ~(m[f"_type_{name}"].rlike(FIELD_TYPES[name][1]) & F.coalesce(finite, F.lit(False)))
+
+    reason = (F.when(~F.coalesce(m["_object"], F.lit(False)), F.lit("unparseable"))
+              .when(named(wrong) != "", F.concat(F.lit("invalid:"), named(wrong)))
+              .when(named(absent) != "", F.concat(F.lit("missing:"), named(absent))))
+    return fields.select(*keep, VALUE_ALIAS, "_m", reason.alias("reject_reason"))
 
 
 def decode_strict(messages: DataFrame, value_col: str = "value",
                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """Decode every message or fail the query.
+    """Decode every message or fail the query, naming the reason and the
+    whole message.
 
-    The null check sits in the same projection as the fields, so it cannot
-    be pruned away while any field is used downstream.
+    The check sits in the same projection as the fields, so it cannot be
+    pruned away while any field is used downstream.
     """
-    src = messages.withColumnRenamed(value_col, VALUE_ALIAS) if value_col != VALUE_ALIAS else messages
-    parsed = F.from_json(F.col(VALUE_ALIAS), IMPRESSION_DDL, {"mode": "FAILFAST"})
-    out = _parse_once(src, parsed, keep)
-    m = F.col("_m")
-    missing = _missing(m)
-    checked = F.when(
-        F.size(missing) > 0,
-        F.raise_error(F.concat(F.lit("malformed impression, missing fields: "),
-                               F.array_join(missing, ","), F.lit(" in "),
-                               # an excerpt: the message itself may be large
-                               F.coalesce(F.substring(F.col(VALUE_ALIAS), 1, 200), F.lit("null")))),
-    ).otherwise(m)
+    out = _parsed(messages, value_col, keep)
+    checked = F.when(F.col("reject_reason").isNotNull(), F.raise_error(F.concat(
+        F.lit("malformed impression, "), F.col("reject_reason"), F.lit(" in "),
+        F.coalesce(F.col(VALUE_ALIAS), F.lit("null"))))).otherwise(F.col("_m"))
     return out.select(*keep, checked.alias("_c")).select(*keep, *[f"_c.{f}" for f in IMPRESSION_FIELDS])
 
 
@@ -68,20 +84,12 @@ def decode_permissive(messages: DataFrame, value_col: str = "value",
                       keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode without failing: fields plus ``reject_reason``.
 
-    reason: ``unparseable`` (no field could be read), ``invalid:<fields>``
-    (wrong JSON types; listed fields are null), ``missing:<fields>``.
+    reason: ``unparseable`` (not a JSON object), ``invalid:<fields>`` (of
+    another JSON type, or a number that is not finite or too large),
+    ``missing:<fields>`` (absent or null).
     """
-    src = messages.withColumnRenamed(value_col, VALUE_ALIAS) if value_col != VALUE_ALIAS else messages
-    parsed = F.from_json(F.col(VALUE_ALIAS), f"{IMPRESSION_DDL}, {CORRUPT_COL} STRING",
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    out = _parse_once(src, parsed, keep)
-    m = F.col("_m")
-    missing = _missing(m)
-    corrupt = m[CORRUPT_COL].isNotNull()
-    reason = (F.when(corrupt & (F.size(missing) == len(IMPRESSION_FIELDS)), F.lit("unparseable"))
-              .when(corrupt, F.concat(F.lit("invalid:"), F.array_join(missing, ",")))
-              .when(F.size(missing) > 0, F.concat(F.lit("missing:"), F.array_join(missing, ","))))
-    return out.select(*keep, *[m[f].alias(f) for f in IMPRESSION_FIELDS], reason.alias("reject_reason"))
+    out = _parsed(messages, value_col, keep)
+    return out.select(*keep, *[f"_m.{f}" for f in IMPRESSION_FIELDS], "reject_reason")
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adpulse.functions.columns import epoch_millis
-from adpulse.functions.constants import GEOS, IMPRESSION_FIELDS, UNKNOWN_GEO
+from adpulse.functions.constants import (GEOS, IMPRESSION_FIELDS, NUM_ADVERTISERS, NUM_PUBLISHERS,
+                                         NUM_WEBSITES, UNKNOWN_GEO)
 
 
 def impression_columns() -> list[Column]:
@@ -19,9 +20,9 @@ def impression_columns() -> list[Column]:
     k = F.get_json_object("props", "$.k").cast("bigint")
     return [
         epoch_millis("ts").alias("timestamp"),
-        F.concat(F.lit("publisher_"), (k % 5).cast("string")).alias("publisher"),
-        F.concat(F.lit("advertiser_"), (F.col("event_id") % 3).cast("string")).alias("advertiser"),
-        F.concat(F.lit("website_"), ((F.col("event_id") * 7919) % 10000).cast("string"),
+        F.concat(F.lit("publisher_"), (k % NUM_PUBLISHERS).cast("string")).alias("publisher"),
+        F.concat(F.lit("advertiser_"), (F.col("event_id") % NUM_ADVERTISERS).cast("string")).alias("advertiser"),
+        F.concat(F.lit("website_"), ((F.col("event_id") * 7919) % NUM_WEBSITES).cast("string"),
                  F.lit(".com")).alias("website"),
         F.element_at(F.array(*[F.lit(g) for g in GEOS]),
                      (F.col("user_id") % len(GEOS) + 1).cast("int")).alias("geo"),

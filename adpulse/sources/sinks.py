@@ -24,9 +24,10 @@ from adpulse.functions.columns import epoch_millis, ntz_from_millis
 def write_results(results: DataFrame, path: str, fmt: str = "parquet",
                   options: dict | None = None) -> int:
     """Write window results partitioned by window date, replacing only the
-    dates present in ``results``. Returns the number of rows written."""
+    dates present in ``results``. Rows are clustered by date first, large dates
+    split, so a date has few files. Returns the number of rows written."""
     obs = Observation("results_written")
-    out = (results.withColumn("window_date", F.to_date("window_start"))
+    out = (results.withColumn("window_date", F.to_date("window_start")).hint("rebalance", "window_date")
            .observe(obs, F.count(F.lit(1)).alias("rows")))
     (out.write.mode("overwrite").format(fmt).options(**(options or {}))
         .option("partitionOverwriteMode", "dynamic")
@@ -39,7 +40,7 @@ def write_partials(partials: DataFrame, path: str, fmt: str = "parquet") -> int:
     date, replacing only the dates present. Any coarser rollup can later be
     merged from them without re-reading raw events."""
     obs = Observation("partials_written")
-    (partials.withColumn("window_date", F.to_date("window.start"))
+    (partials.withColumn("window_date", F.to_date("window.start")).hint("rebalance", "window_date")
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
      .partitionBy("window_date").save(path))

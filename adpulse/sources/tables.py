@@ -5,22 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str, spread: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """``<base_dir>/<name>.parquet``. Projections and filters applied later
-    are pushed into the scan by Catalyst (``ReadSchema`` / ``PushedFilters``).
-
-    ``spread=True``: if the scan yields fewer splits than the cluster has
-    cores (a small table stored as one row group), spread the rows round-robin
-    so per-row work (JSON, expressions) uses every core. A large table scans
-    into many splits already and is left alone (no extra shuffle).
-    """
-    df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            narrow = df.rdd.getNumPartitions() < cores
-        except Exception:  # sessions without an RDD view: leave the scan as it is
-            narrow = False
-        if narrow:
-            df = df.repartition(cores)
-    return df
+    are pushed into the scan by Catalyst (``ReadSchema`` / ``PushedFilters``);
+    splits follow ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
