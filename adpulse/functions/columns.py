@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 __all__ = [
-    "epoch_millis", "epoch_seconds", "ntz_from_millis", "ltz_from_millis", "ltz_to_ntz",
+    "bucket_start", "epoch_millis", "epoch_seconds", "ntz_from_millis", "ltz_from_millis", "ltz_to_ntz",
     "truncated_int", "duration_seconds",
 ]
 
@@ -47,6 +47,13 @@ def ntz_from_millis(ms) -> Column:
     return F.timestamp_add("MILLISECOND", _col(ms), _epoch_ntz())
 
 
+def bucket_start(ts: str, seconds: int) -> Column:
+    """Start of the bucket of this length, counted from 1970, that a zone-less
+    timestamp (a column or a field of one) lies in."""
+    at = F.expr(f"timestampdiff(SECOND, {_EPOCH_NTZ}, {ts})")
+    return F.timestamp_add("SECOND", at - F.pmod(at, F.lit(seconds)), _epoch_ntz())
+
+
 def ltz_to_ntz(ts) -> Column:
     """Instant (TIMESTAMP) -> zone-less UTC wall time, whatever the session zone."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), _epoch_ntz())

@@ -68,6 +68,8 @@ def merge_partials(partials: DataFrame, window: str, slide: str | None = None,
         for d in (window, slide):
             if d is not None and duration_seconds(d) % fine:
                 raise ValueError(f"{d!r} is not a multiple of the fine window {fine_window!r}")
+    if isinstance(time_col, str) and "." in time_col:  # a field of the old window
+        partials, time_col = partials.withColumn("_t", F.col(time_col)).drop("window"), "_t"
     t = F.window_time("window") if time_col is None else (
         F.col(time_col) if isinstance(time_col, str) else time_col)
     return (partials

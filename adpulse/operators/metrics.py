@@ -256,19 +256,33 @@ def metric_envelope(results: DataFrame, stored: DataFrame | None = None,
     * rawCount: ingest reports per window (``ingest`` = ``ingest_counter``).
     ``ts`` is the window end in epoch seconds.
     """
-    ts = epoch_seconds("window_end").alias("ts")
     out = window_metrics(results, digits)
     if stored is not None:
-        out = out.unionByName(group_count(stored).select(
-            F.lit(TARGET_STORED_COUNT).alias("target"), ts,
-            F.col("pub_geo_count").cast("string").alias("data")))
+        out = out.unionByName(stored_metric(stored))
     if ingest is not None:
         out = out.unionByName(ingest.where(F.col("reported_increment") > 0).select(
-            F.lit(TARGET_RAW_COUNT).alias("target"), ts,
+            F.lit(TARGET_RAW_COUNT).alias("target"), epoch_seconds("window_end").alias("ts"),
             F.col("reported_increment").cast("string").alias("data")))
     return out
 
 
+def stored_metric(stored: DataFrame) -> DataFrame:
+    """Rows stored per coarse window, as envelope rows."""
+    return group_count(stored).select(
+        F.lit(TARGET_STORED_COUNT).alias("target"), epoch_seconds("window_end").alias("ts"),
+        F.col("pub_geo_count").cast("string").alias("data"))
+
+
+def report_increment(counter: DataFrame, step: int = INGEST_REPORT_STEP) -> DataFrame:
+    """(value, total, window_end) of the message counter after a batch -> the
+    envelope row of what a producer that reports per ``step`` messages has
+    reported in it; none if that is nothing."""
+    reported = F.floor(F.col("total") / step) * step - F.floor((F.col("total") - F.col("value")) / step) * step
+    return counter.where(reported > 0).select(
+        F.lit(TARGET_RAW_COUNT).alias("target"), F.unix_timestamp(F.col("window_end").cast("timestamp")).alias("ts"),
+        reported.cast("bigint").cast("string").alias("data"))
+
+
 _PAIRS = "array<struct<key:string,count:bigint>>"
 _FILES = "array<struct<id:string,size:bigint,storage:bigint>>"
 _POINT = "struct<ts:bigint,data:array<struct<key:string,count:bigint>>>"

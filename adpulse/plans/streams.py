@@ -1,165 +1,140 @@
-"""Streaming queries: the impression messages of ``events`` replayed as a
-stream in event-time slices (see ``streaming.jobs.run_slices``), results read
-back from the sink. Append mode emits a window once the watermark (delay 0)
-passes its end, so the window holding the last event stays open."""
+"""Streaming queries: the impression messages of ``events``, encoded as JSON
+by a streaming read of the table, go through the production job or through a
+stateful query, run to completion; the result is read back from the sinks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adpulse.functions.constants import EXACT_BID_TYPE, EXACT_SHARE_DIGITS, UNKNOWN_GEO
 from adpulse.operators import aggregate as agg
 from adpulse.operators import metrics as met
-from adpulse.plans.catalog import COARSE, FINE, impressions
+from adpulse.plans.catalog import COARSE, FINE
 from adpulse.session import work_dir
 from adpulse.sources import codec
-from adpulse.sources.sinks import batch_writer, retried
+from adpulse.sources.impressions import impression_columns
+from adpulse.sources.tables import read_table
 from adpulse.streaming import jobs
-from adpulse.streaming.sources import message_stream
+from adpulse.streaming.sources import message_stream, write_topic
 
-N_SLICES = 5
-LATE_ORDER = (0, 2, 3, 4, 1)  # slice 1 arrives last: behind the watermark
+ONCE = {"availableNow": True}
 
 
-def messages(spark: SparkSession, base: str) -> DataFrame:
-    return codec.encode_messages(impressions(spark, base, spread=True), keep=("timestamp",))
+def messages(spark: SparkSession, base: str, only: Column | None = None) -> DataFrame:
+    """``events`` as a stream of messages (key, value, arrival): a third of
+    them arrive an hour after the event, a third two hours after it."""
+    table, base = read_table(spark, base, "events"), base.rstrip("/")
+    reader = spark.readStream.schema(table.schema)
+    if any(f.endswith("/events.parquet") for f in table.inputFiles()):  # one file: a stream reads its folder
+        events = reader.option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(base)
+    else:
+        events = reader.parquet(f"{base}/events.parquet")
+    events = events if only is None else events.where(only)
+    delay = F.make_dt_interval(hours=(F.col("event_id") % 3).cast("int"))
+    rows = events.select(F.col("event_id").cast("string").alias("key"), (F.col("ts") + delay).cast("timestamp").alias("arrival"),
+                         *impression_columns())
+    return codec.encode_messages(rows, keep=("key", "arrival"))
 
 
-def _fine(src: DataFrame) -> DataFrame:
-    return jobs.fine_stream(jobs.impression_stream(src), FINE)
+def run_job(spark: SparkSession, base: str, root: str, only: Column | None = None, **options) -> str:
+    """The production job on ``events``, run to completion."""
+    options = {"time_mode": "event", "bid_type": EXACT_BID_TYPE, "digits": EXACT_SHARE_DIGITS} | options
+    jobs.start_impression_job(spark, messages(spark, base, only), root, FINE, COARSE, trigger=ONCE, **options).awaitTermination()
+    return root
 
 
-def _coarse(src: DataFrame) -> DataFrame:
-    return agg.finalise(jobs.coarse_stream(_fine(src), COARSE, FINE))
+def store(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/store").drop("window_date")
 
 
-def _sink(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+def fine_windows(spark: SparkSession, root: str) -> DataFrame:
+    """Fine windows merged from the job's partials."""
+    partials = spark.read.parquet(f"{root}/partials").where(F.col("geo") != UNKNOWN_GEO)
+    return agg.finalise(agg.merge_partials(partials, FINE, fine_window=FINE, time_col="window.start"))
 
 
 def q_stream_fine_agg(spark, base):
-    folder = work_dir(spark, "stream-fine")
-    sink, _ = jobs.run_slices(spark, messages(spark, base), N_SLICES,
-                              lambda s: agg.finalise(_fine(s)), folder)
-    return _sink(spark, sink)
+    return fine_windows(spark, run_job(spark, base, work_dir(spark, "stream-fine")))
 
 
 def q_stream_coarse_agg(spark, base):
-    folder = work_dir(spark, "stream-coarse")
-    sink, _ = jobs.run_slices(spark, messages(spark, base), N_SLICES, _coarse, folder)
-    return _sink(spark, sink)
+    return store(spark, run_job(spark, base, work_dir(spark, "stream-coarse")))
 
 
 def q_stream_share_wide(spark, base):
-    folder = work_dir(spark, "stream-share")
-    sink, _ = jobs.run_slices(spark, messages(spark, base), N_SLICES,
-                              lambda s: jobs.share_wide_stream(_fine(s)), folder)
-    return _sink(spark, sink)
+    results = fine_windows(spark, run_job(spark, base, work_dir(spark, "stream-share")))
+    return met.geo_bid_share_wide(results, digits=EXACT_SHARE_DIGITS)
 
 
 def q_stream_totals(spark, base):
-    folder = work_dir(spark, "stream-totals")
-    sink = f"{folder}/sink"
-    jobs.run_slices(spark, messages(spark, base), N_SLICES,
-                    lambda s: jobs.totals_stream(jobs.impression_stream(s)), folder,
-                    writer=jobs.table_writer(sink), output_mode="complete", sink=sink)
-    return spark.read.parquet(sink)
+    """The three counters after the last batch."""
+    return jobs.read_totals(spark, run_job(spark, base, work_dir(spark, "stream-totals"))).select("key", "value", "total")
 
 
 def q_stream_arrival_totals(spark, base):
-    """Windows on arrival (batch) time, as the micro-batch job assigns rows
-    to the batch they arrive in: nothing is late, every known impression is
-    counted. The windows depend on the wall clock, so the result is the
-    impressions per (publisher, geo) summed over all arrival windows."""
-    folder = work_dir(spark, "stream-arrival")
-    sink = f"{folder}/sink"
-
-    def build(src):
-        imp = jobs.impression_stream(src, time_mode="arrival")
-        return jobs.fine_stream(imp, FINE).select("window", "publisher", "geo", "imps")
-
-    jobs.run_slices(spark, messages(spark, base), N_SLICES, build, folder,
-                    writer=jobs.table_writer(sink), output_mode="complete", sink=sink)
-    return (spark.read.parquet(sink).groupBy("publisher", "geo")
-            .agg(F.sum("imps").alias("imps")))
+    """Windows of arrival time: every known impression, in the hour in which
+    its message arrived."""
+    root = run_job(spark, base, work_dir(spark, "stream-arrival"), time_mode="arrival")
+    return fine_windows(spark, root).select("window_start", "publisher", "geo", "imps")
 
 
 def q_stream_sink_idempotent(spark, base):
-    """Every micro-batch is written twice, as a retried batch would be; the
-    sink still holds each coarse window once."""
-    folder = work_dir(spark, "stream-idem")
-    sink = f"{folder}/sink"
-    jobs.run_slices(spark, messages(spark, base), N_SLICES, _coarse, folder,
-                    writer=retried(batch_writer(sink)), sink=sink)
-    return _sink(spark, sink)
+    """The job again under a new checkpoint, from the start of the topic: the
+    store holds each coarse window once."""
+    root = run_job(spark, base, work_dir(spark, "stream-again"))
+    return store(spark, run_job(spark, base, root, checkpoint=f"{root}/_checkpoint_2"))
 
 
 def q_stream_stored_count(spark, base):
-    """Rows in the store, and rows counted while writing (per-batch counter)."""
-    folder = work_dir(spark, "stream-count")
-    sink, counts = f"{folder}/sink", f"{folder}/counts"
-    jobs.run_slices(spark, messages(spark, base), N_SLICES, _coarse, folder,
-                    writer=batch_writer(sink, counts_path=counts), sink=sink)
-    stored = spark.read.parquet(sink).agg(F.count(F.lit(1)).alias("rows"))
-    written = spark.read.parquet(counts).agg(F.sum("rows").alias("rows"))
-    return (stored.select(F.lit("stored").alias("counter"), "rows")
-            .unionByName(written.select(F.lit("written").alias("counter"), "rows")))
+    """Rows in the store, and rows counted while writing."""
+    root = run_job(spark, base, work_dir(spark, "stream-count"))
+    stored = store(spark, root).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("stored").alias("counter"), "rows")
+    written = jobs.read_totals(spark, root).where("key = 'mongoCount'").select(F.lit("written").alias("counter"), F.col("total").alias("rows"))
+    return stored.unionByName(written)
 
 
 def q_stream_late_data(spark, base):
-    """Slices staged out of order: slice 1 comes last, after the watermark
-    passed it; its rows are dropped as late (event-time mode)."""
-    folder = work_dir(spark, "stream-late")
-    sink, _ = jobs.run_slices(spark, messages(spark, base), N_SLICES, _coarse, folder,
-                              order=LATE_ORDER)
-    return _sink(spark, sink)
+    """A fifth of the messages comes in a later run, after all windows have
+    been stored: the store then holds them, too."""
+    root = run_job(spark, base, work_dir(spark, "stream-late"), F.col("event_id") % 5 != 1)
+    run_job(spark, base, root, F.col("event_id") % 5 == 1, checkpoint=f"{root}/_checkpoint_late", from_start=False)
+    return store(spark, root)
 
 
-def fan_out_writer(store: str, metrics_path: str):
-    """One micro-batch to two sinks: the stored rows and the dashboard
-    metrics computed from them. The batch is persisted once for both."""
-    store_writer, metric_writer = batch_writer(store), batch_writer(metrics_path)
+def q_stream_watermark(spark, base):
+    """The stateful form: chained fine and coarse windows with a watermark
+    that lets everything in. In complete mode no window stays open."""
+    root = work_dir(spark, "stream-state")
+    fine = jobs.fine_stream(jobs.impression_stream(messages(spark, base), delay="40 days"), FINE, bid_type=EXACT_BID_TYPE)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            store_writer(batch, batch_id)
-            metric_writer(met.metric_envelope(batch), batch_id)
-        finally:
-            batch.unpersist()
-    return write
+        agg.finalise(batch).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
 
-
-def q_stream_fan_out(spark, base):
-    folder = work_dir(spark, "stream-fanout")
-    store, metrics_path = f"{folder}/store", f"{folder}/metrics"
-    jobs.run_slices(spark, messages(spark, base), N_SLICES, lambda s: agg.finalise(_fine(s)),
-                    folder, writer=fan_out_writer(store, metrics_path), sink=store)
-    return _sink(spark, metrics_path)
+    with jobs.shuffle_partitions(spark, spark.sparkContext.defaultParallelism):
+        (fine.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{root}/ckpt")
+         .trigger(**ONCE).start().awaitTermination())
+    return spark.read.parquet(f"{root}/out").drop("batch")
 
 
-def run_job(spark, base) -> str:
-    """The production job (``start_impression_job``) on the messages of
-    ``events`` as a file stream, run to completion; returns its root folder."""
-    folder = work_dir(spark, "job")
-    messages(spark, base).select("value").write.text(f"{folder}/in")
-    queries = jobs.start_impression_job(spark, message_stream(spark, "text", f"{folder}/in"),
-                                        f"{folder}/out", FINE, COARSE,
-                                        trigger={"availableNow": True},
-                                        state_partitions=spark.sparkContext.defaultParallelism)
-    for q in queries.values():
-        q.awaitTermination()
-    return f"{folder}/out"
+def q_stream_fan_out(spark, base):
+    """Per-window metrics that the job writes beside the store."""
+    root = run_job(spark, base, work_dir(spark, "stream-fanout"))
+    return spark.read.parquet(f"{root}/metrics/windows").drop("window_date")
 
 
-def q_stream_job_store(spark, base):
-    """Coarse windows stored by the production job."""
-    return _sink(spark, f"{run_job(spark, base)}/store")
+def q_stream_job_metrics(spark, base):
+    """All five targets, as the job publishes them."""
+    return jobs.read_metrics(spark, run_job(spark, base, work_dir(spark, "stream-metrics")))
 
 
-def q_stream_job_metrics(spark, base):
-    """Dashboard metrics written by the production job."""
-    return _sink(spark, f"{run_job(spark, base)}/metrics")
+def q_stream_topic_roundtrip(spark, base):
+    """Messages published to a topic (a folder here) and consumed again."""
+    root = work_dir(spark, "stream-topic")
+    write_topic(messages(spark, base), f"{root}/ckpt", kind="text", path=f"{root}/topic", trigger=ONCE).awaitTermination()
+    jobs.start_impression_job(spark, message_stream(spark, "text", f"{root}/topic"), f"{root}/job", FINE, COARSE, trigger=ONCE,
+                              time_mode="event", bid_type=EXACT_BID_TYPE).awaitTermination()
+    return store(spark, f"{root}/job")
 
 
 STREAM_QUERIES = {
@@ -171,7 +146,8 @@ STREAM_QUERIES = {
     "stream_sink_idempotent": q_stream_sink_idempotent,
     "stream_stored_count": q_stream_stored_count,
     "stream_late_data": q_stream_late_data,
+    "stream_watermark": q_stream_watermark,
     "stream_fan_out": q_stream_fan_out,
-    "stream_job_store": q_stream_job_store,
     "stream_job_metrics": q_stream_job_metrics,
+    "stream_topic_roundtrip": q_stream_topic_roundtrip,
 }

@@ -71,15 +71,6 @@ def batch_writer(path: str, fmt: str = "parquet", options: dict | None = None,
     return write
 
 
-def retried(writer, attempts: int = 2):
-    """Run a batch writer several times per batch, as a retried batch would
-    (fault injection for idempotency checks)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        for _ in range(attempts):
-            writer(batch, batch_id)
-    return write
-
-
 def encode_dates(results: DataFrame, col: str = "date") -> DataFrame:
     """Stored form of a timestamp: epoch milliseconds (document-store datetime)."""
     return results.withColumn(col, epoch_millis(col))

@@ -1,8 +1,6 @@
-from adpulse.streaming.sources import message_stream, to_topic, topic_sink_options
-from adpulse.streaming.staging import append_slice, stage_slices, time_slices
-from adpulse.streaming.jobs import (coarse_stream, fine_stream, impression_stream,
-                                    metrics_writer, partials_stream, rows_dropped_by_watermark,
-                                    run_slices, share_wide_stream, start_impression_job,
-                                    table_writer, totals_stream)
+from adpulse.streaming.sources import message_stream, to_topic, topic_sink_options, write_topic
+from adpulse.streaming.jobs import (coarse_stream, fine_stream, impression_stream, read_metrics,
+                                    read_totals, rows_dropped_by_watermark, share_wide_stream,
+                                    shuffle_partitions, start_impression_job)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -1,36 +1,40 @@
-"""Streaming jobs: the reference's DStream chain as Structured Streaming.
-
-messages -> strict decode -> known geo -> event time + watermark
-         -> fine windows (stateful, append: a window is emitted once, when the
-            watermark passes its end)
-         -> coarse windows merged from the fine partials (second stateful
-            operator, chained on ``window_time``)
-         -> idempotent ``foreachBatch`` sinks.
-
-State is bounded by keys x open windows: the watermark evicts closed windows.
-Windows use event time by default; ``time_mode="arrival"`` windows on the
-arrival time (broker timestamp or batch time), as the DStream job did.
+"""Streaming jobs on impression messages.
+
+The production job (``start_impression_job``) keeps no window open. Each
+micro-batch is decoded once and aggregated to mergeable partials (impressions,
+bid sum, earliest event, cookie sketch per window, publisher and geo), which
+are appended to a partial store. Whatever a batch touches is then merged again
+from the partials and upserted: the dashboard metrics of its windows, and the
+rows of its coarse windows. So a late message adds to its window however late
+it comes, the last window of a bounded input needs no closing, and a store row
+is keyed by (window_start, publisher, geo).
+
+The stateful builders (``fine_stream``, ``coarse_stream``, ...) emit each
+window once, when a watermark has passed it; what comes later is dropped and
+counted in the query's progress.
 """
 
 from __future__ import annotations
 
 from contextlib import contextmanager
-from typing import Callable, Sequence
+from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.functions.columns import ltz_from_millis
-from adpulse.functions.constants import CHART_GEO_ORDER
+from adpulse.functions.columns import bucket_start, duration_seconds, ltz_from_millis, ltz_to_ntz, ntz_from_millis
+from adpulse.functions.constants import (CHART_GEO_ORDER, TARGET_PUB_GEO_COUNT, TARGET_RAW_COUNT,
+                                         TARGET_STORED_COUNT, UNKNOWN_GEO)
 from adpulse.operators import aggregate as agg
 from adpulse.operators import metrics as met
 from adpulse.sources import codec
 from adpulse.sources.impressions import known_geo
-from adpulse.sources.sinks import batch_writer
-from adpulse.streaming.sources import message_stream
-from adpulse.streaming.staging import append_slice, stage_slices, time_slices
+from adpulse.sources.sinks import write_results
 
 
+# -- stateful builders ----------------------------------------------------------------
+
 def impression_stream(messages: DataFrame, strict: bool = True, time_mode: str = "event",
                       delay: str = "0 seconds") -> DataFrame:
     """Decoded known-geo impressions with ``event_time`` and a watermark."""
@@ -48,92 +52,19 @@ def impression_stream(messages: DataFrame, strict: bool = True, time_mode: str =
     return known.withColumn("event_time", t).withWatermark("event_time", delay)
 
 
-def fine_stream(impressions: DataFrame, window: str) -> DataFrame:
-    return agg.fine_partials(impressions.drop("arrival"), window, time_col="event_time")
+def fine_stream(impressions: DataFrame, window: str, bid_type: str = "double") -> DataFrame:
+    return agg.fine_partials(impressions.drop("arrival"), window, time_col="event_time", bid_type=bid_type)
 
 
 def coarse_stream(partials: DataFrame, window: str, fine_window: str) -> DataFrame:
     return agg.merge_partials(partials, window, fine_window=fine_window)
 
 
-def share_wide_stream(partials: DataFrame, geos: Sequence[str] = CHART_GEO_ORDER) -> DataFrame:
+def share_wide_stream(partials: DataFrame, geos: Sequence[str] = CHART_GEO_ORDER, digits: int | None = None) -> DataFrame:
     """Per-geo bid share in wide form, one row per closed fine window."""
     results = partials.select("window", "geo",
                               (F.col("sum_bids").cast("double") / F.col("imps")).alias("avg_bids"))
-    return met.geo_bid_share_wide(results, geos, by=["window"])
-
-
-def totals_stream(impressions: DataFrame) -> DataFrame:
-    """Running impressions per geo (complete mode: the whole table each batch)."""
-    return impressions.groupBy("geo").agg(F.count(F.lit(1)).alias("imps"))
-
-
-def table_writer(path: str, fmt: str = "parquet"):
-    """``foreachBatch`` writer for complete mode: replace the whole table."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(path)
-    return write
-
-
-def run_slices(spark: SparkSession, messages: DataFrame, n_slices: int,
-               build: Callable[[DataFrame], DataFrame], folder: str,
-               order: Sequence[int] | None = None, writer=None,
-               output_mode: str = "append", sink: str | None = None,
-               restart_each_slice: bool = False,
-               state_partitions: int | None = None) -> tuple[str, list]:
-    """Replay ``messages`` (``value`` + epoch-ms ``timestamp``) as a stream.
-
-    The messages are cut into ``n_slices`` event-time slices and appended to
-    the stream folder in ``order``, slice by slice, each as F files
-    (F = default parallelism). The file source takes files oldest first, so
-    one ``availableNow`` run with ``maxFilesPerTrigger = F`` processes one
-    slice per micro-batch: the watermark advances between slices as it would
-    between broker batches. A slice that comes out as fewer files is
-    processed right after it is appended (it is then the newest data, so its
-    batch holds all of it) - a batch never straddles two slices.
-
-    ``restart_each_slice=True`` appends one slice at a time and restarts the
-    query from its checkpoint after each, as after a driver failure. Returns
-    the sink path and all progress reports.
-
-    ``state_partitions`` (default: the cluster's parallelism) is the number of
-    partitions of the stateful operators; it is fixed in the checkpoint when
-    the query first starts, so it is set only around that start and the
-    session's own ``spark.sql.shuffle.partitions`` is restored afterwards.
-    """
-    sink = sink or f"{folder}/sink"
-    staged, sizes = stage_slices(messages, time_slices(messages, "timestamp", n_slices), folder,
-                                 n_slices)
-    stream_dir, checkpoint = f"{folder}/stream", f"{folder}/checkpoint"
-    seq = list(order) if order is not None else list(range(n_slices))
-    files = spark.sparkContext.defaultParallelism
-    progress: list = []
-
-    parts = state_partitions or spark.sparkContext.defaultParallelism
-
-    def run(options: dict) -> None:
-        out = build(message_stream(spark, "text", stream_dir, options=options))
-        with shuffle_partitions(spark, parts):
-            query = (out.writeStream.outputMode(output_mode)
-                     .option("checkpointLocation", checkpoint)
-                     .foreachBatch(writer or batch_writer(sink))
-                     .trigger(availableNow=True).start())
-        query.awaitTermination()
-        progress.extend(query.recentProgress)
-
-    options = {"maxFilesPerTrigger": str(files)}
-    pending = False
-    for k in seq:
-        if not sizes.get(k, 0):
-            continue
-        written = append_slice(spark, staged, k, stream_dir, files=files)
-        pending = True
-        if restart_each_slice or written != files:
-            run(options)
-            pending = False
-    if pending:
-        run(options)
-    return sink, progress
+    return met.geo_bid_share_wide(results, geos, by=["window"], digits=digits)
 
 
 def rows_dropped_by_watermark(progress: list) -> int:
@@ -164,90 +95,138 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", saved)
 
 
-def metrics_writer(path: str):
-    """``foreachBatch`` for the dashboard: a batch of closed fine partials ->
-    metric envelope rows (group counts, per-geo impressions, bid shares),
-    computed on the executors and written under ``batch_id=<n>``."""
-    write = batch_writer(path)
+# -- the production job -----------------------------------------------------------------
+
+def _by_key(partials: DataFrame) -> DataFrame:
+    """One row per (window, publisher, geo)."""
+    return partials.groupBy("window", *agg.KEYS).agg(
+        F.min("first_ts").alias("first_ts"), F.sum("sum_bids").alias("sum_bids"), F.sum("imps").alias("imps"),
+        F.hll_union_agg("uniques_sketch").alias("uniques_sketch"))
+
+
+def _dated(path: str, df: DataFrame, date: Column) -> None:
+    """Replace the dates that ``df`` has, a few files each."""
+    (df.withColumn("window_date", date).hint("rebalance", "window_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(path))
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        write(met.metric_envelope(agg.finalise(batch)), batch_id)
-    return run
 
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """(target, ts, data) of all five targets that a job has published."""
+    parts = [spark.read.parquet(f"{root}/metrics/{part}").select("target", "ts", "data") for part in ("windows", "store", "ingest")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
-def partials_stream(spark: SparkSession, path: str, schema, delay: str = "0 seconds") -> DataFrame:
-    """Fine partials written by the fine query, read back as a stream. Only
-    files committed to the sink's log are read (exactly once). ``fine_time``
-    (the last instant of the fine window) carries the watermark."""
-    return (spark.readStream.schema(schema).parquet(path)
-            .withColumn("fine_time", F.col("window.end") - F.expr("INTERVAL 1 MICROSECOND"))
-            .withWatermark("fine_time", delay))
+
+def read_totals(spark: SparkSession, root: str) -> DataFrame:
+    """(run, batch, key, value, total): the counters after each batch."""
+    return spark.read.parquet(f"{root}/totals")
 
 
 def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
                          fine_window: str, coarse_window: str, trigger: dict | None = None,
-                         time_mode: str = "event", delay: str = "0 seconds",
-                         strict: bool = True, rejects: bool = False,
-                         state_partitions: int | None = None) -> dict:
-    """Start the whole reference job on a message stream (Kafka or files).
-
-    * ``fine``: messages -> decode -> fine partials, written with the
-      exactly-once parquet file sink to ``root/partials``. The only query that
-      reads and decodes raw messages.
-    * ``ui``: committed partials -> dashboard metrics per micro-batch
-      (stateless: every fine window arrives once, closed) -> ``root/metrics``.
-    * ``store``: committed partials -> coarse windows (stateful merge with its
-      own watermark) -> ``root/store``, rows written per batch in
-      ``root/store_counts``.
-
-    The store's watermark is the last instant of the latest fine window it
-    has received, so a coarse window is stored once a later fine window has
-    been emitted (a lag of about one fine window on a flowing stream) - the
-    price of reading and decoding raw messages once instead of once per sink.
-
-    With ``strict=False`` malformed messages are skipped instead of failing
-    the job; ``rejects=True`` then adds a query that keeps them, with their
-    reason, in ``root/rejects`` (it reads the raw messages a second time and
-    writes only the rejected ones).
-
-    ``state_partitions`` sets the partitions of the stateful operators at the
-    first start (default: the session's ``spark.sql.shuffle.partitions``).
-
-    Each query has its own checkpoint and restarts alone. ``ui`` and ``store``
-    start once ``fine`` has committed its first batch (the partials folder and
-    its log then exist). ``trigger`` defaults to the 1-second micro-batch.
-    Returns the queries by name; ``stop()`` each to end the job.
+                         time_mode: str = "arrival", strict: bool = True, rejects: bool = False,
+                         from_start: bool = True, checkpoint: str | None = None,
+                         bid_type: str = "double", digits: int | None = None):
+    """Start the whole job on a message stream; returns its query.
+
+    Windows are of arrival time (broker or batch time), as in the reference,
+    or of ``time_mode="event"``; no message is dropped in either. Per batch:
+
+    * ``partials``: mergeable partials of all geos, per run and batch;
+    * ``metrics`` (``read_metrics``): group counts, per-geo impressions and bid
+      shares of the dates of the batch's windows, the rows stored per coarse
+      window, and the batch's ingest report;
+    * ``store``: finalised coarse windows, keyed by (window_start, publisher,
+      geo): the dates that the batch touches are merged again from their
+      partials and replaced, so a key has one row and a date few files;
+    * ``totals`` (``read_totals``): running totals of the three counters;
+    * ``rejects`` with ``strict=False, rejects=True``: malformed messages with
+      their reason. Strict jobs fail on the first malformed message.
+
+    Every write replaces what the same batch wrote before, so a batch that is
+    repeated after a failure leaves one copy. A run is named after its
+    checkpoint (``root/_checkpoint`` unless given). With ``from_start`` a run
+    under a new checkpoint reads the topic from its start and partials of
+    earlier runs no longer count; without it they do (a run that goes on where
+    another ended). ``trigger`` defaults to the 1-second micro-batch; ``stop()``
+    the query to end the job.
     """
-    trigger = trigger or {"processingTime": "1 second"}
-    partials, ckpt = f"{root}/partials", f"{root}/_checkpoints"
-    fine = fine_stream(impression_stream(messages, strict=strict, time_mode=time_mode, delay=delay),
-                       fine_window)
-    with shuffle_partitions(spark, state_partitions):
-        queries = {"fine": fine.writeStream.queryName("fine").outputMode("append").format("parquet")
-                   .option("path", partials).option("checkpointLocation", f"{ckpt}/fine")
-                   .trigger(**trigger).start()}
-    if rejects and not strict:
-        raw = messages.withColumn("raw", F.col("value"))
-        bad = codec.rejects(codec.decode_permissive(raw, keep=("key", "arrival", "raw")))
-        queries["rejects"] = (bad.select("key", "arrival", "reject_reason", F.col("raw").alias("value"))
-                              .writeStream.queryName("rejects").format("parquet")
-                              .option("path", f"{root}/rejects")
-                              .option("checkpointLocation", f"{ckpt}/rejects")
-                              .trigger(**trigger).start())
-    while not queries["fine"].recentProgress and queries["fine"].isActive:
-        queries["fine"].awaitTermination(0.2)
-    if trigger.get("availableNow"):
-        queries["fine"].awaitTermination()
-    schema = fine.schema
-    queries["ui"] = (partials_stream(spark, partials, schema, delay).drop("fine_time")
-                     .writeStream.queryName("ui").option("checkpointLocation", f"{ckpt}/ui")
-                     .foreachBatch(metrics_writer(f"{root}/metrics")).trigger(**trigger).start())
-    coarse = agg.merge_partials(partials_stream(spark, partials, schema, delay), coarse_window,
-                                        fine_window=fine_window, time_col="fine_time")
-    with shuffle_partitions(spark, state_partitions):
-        queries["store"] = (agg.finalise(coarse).writeStream.queryName("store").outputMode("append")
-                            .option("checkpointLocation", f"{ckpt}/store")
-                            .foreachBatch(batch_writer(f"{root}/store",
-                                                       counts_path=f"{root}/store_counts"))
-                            .trigger(**trigger).start())
-    return queries
+    if time_mode not in ("event", "arrival"):
+        raise ValueError(f"time_mode must be 'event' or 'arrival', not {time_mode!r}")
+    checkpoint = checkpoint or f"{root}/_checkpoint"
+    if strict:
+        decoded = codec.decode_strict(messages, keep=("arrival",))
+    else:
+        decoded = codec.decode_permissive(messages.withColumn("raw", F.col("value")), keep=("key", "arrival", "raw"))
+    event_time = ntz_from_millis("timestamp") if time_mode == "event" else ltz_to_ntz("arrival")
+
+    def partials(spark: SparkSession, run: str) -> DataFrame:
+        path = f"{root}/partials" + (f"/run={run}" if from_start else "")
+        return spark.read.option("basePath", f"{root}/partials").parquet(path)
+
+    def decode_to_partials(batch: DataFrame, here: str) -> DataFrame:
+        """The only step that reads messages."""
+        good = batch
+        if not strict:
+            batch = batch.persist() if rejects else batch  # decoded once for both writes
+            good = codec.accepted(batch)
+        fine = agg.fine_partials(good.withColumn("event_time", event_time), fine_window, time_col="event_time", bid_type=bid_type)
+        _dated(f"{root}/partials/{here}", fine, F.to_date("window.start"))
+        if rejects and not strict:
+            bad = codec.rejects(batch).select("key", "arrival", "reject_reason", F.col("raw").alias("value"))
+            bad.write.mode("overwrite").parquet(f"{root}/rejects/{here}")
+            batch.unpersist()
+        return batch.sparkSession.read.schema(fine.schema).parquet(f"{root}/partials/{here}")
+
+    def counters(own: DataFrame, run: str, batch_id: int) -> DataFrame:
+        """(key, value, total, window_end), one row per counter."""
+        spark = own.sparkSession
+        groups = own.where(F.col("geo") != UNKNOWN_GEO).select("window", *agg.KEYS)
+        coarse = groups.select(bucket_start("window.start", duration_seconds(coarse_window)).alias("w"), *agg.KEYS).distinct()
+        now = (own.agg(F.coalesce(F.sum("imps"), F.lit(0)).alias("value"), F.max("window.end").alias("window_end"))
+               .select(F.lit(TARGET_RAW_COUNT).alias("key"), "value", "window_end"))
+        for key, rows in ((TARGET_PUB_GEO_COUNT, groups), (TARGET_STORED_COUNT, coarse)):
+            now = now.unionByName(rows.agg(F.count(F.lit(1)).alias("value")).select(F.lit(key).alias("key"), "value"), allowMissingColumns=True)
+        if batch_id:
+            before = spark.read.parquet(f"{root}/totals/run={run}/batch={batch_id - 1}").select("key", F.col("total").alias("before"))
+        elif from_start or not any_totals[0]:
+            before = now.select("key", F.lit(0).cast("bigint").alias("before"))
+        else:
+            before = read_totals(spark, root).where(F.col("run") != run).groupBy("key").agg(F.max("total").alias("before"))
+        return now.join(before, "key", "left").select(
+            "key", "value", (F.col("value") + F.coalesce("before", F.lit(0))).alias("total"), "window_end")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        here = f"run={run}/batch={batch_id}"
+        own = decode_to_partials(batch, here)
+        coarse_date = F.to_date(bucket_start("window.start", duration_seconds(coarse_window)))
+        touched = own.select(F.to_date("window.start").alias("fine"), coarse_date.alias("coarse")).distinct().collect()  # dates
+        if touched:
+            every = partials(spark, run)
+            fine_dates, coarse_dates = ({r[k] for r in touched} for k in (0, 1))
+            fine = _by_key(every.where(F.col("window_date").isin(*fine_dates) & (F.col("geo") != UNKNOWN_GEO)))
+            _dated(f"{root}/metrics/windows", met.window_metrics(agg.averages(fine), digits),
+                   F.to_date(F.timestamp_seconds(F.col("ts") - duration_seconds(fine_window))))
+            spill = 1 + duration_seconds(coarse_window) // 86400
+            parts = every.where(F.col("window_date").between(F.lit(min(coarse_dates)), F.date_add(F.lit(max(coarse_dates)), spill))
+                                & coarse_date.isin(*coarse_dates) & (F.col("geo") != UNKNOWN_GEO))
+            coarse = agg.finalise(agg.merge_partials(parts, coarse_window, fine_window=fine_window, time_col="window.start"))
+            write_results(coarse, f"{root}/store")
+            stored = spark.read.parquet(f"{root}/store").where(F.col("window_date").isin(*coarse_dates))
+            _dated(f"{root}/metrics/store", met.stored_metric(stored),
+                   F.to_date(F.timestamp_seconds(F.col("ts") - duration_seconds(coarse_window))))
+        totals = f"{root}/totals/{here}"
+        counters(own, run, batch_id).coalesce(1).write.mode("overwrite").parquet(totals)
+        report = met.report_increment(spark.read.parquet(totals).where(F.col("key") == TARGET_RAW_COUNT))
+        report.write.mode("overwrite").parquet(f"{root}/metrics/ingest/{here}")
+
+    def has_totals() -> bool:
+        try:
+            return not read_totals(spark, root).isEmpty()
+        except AnalysisException:  # nothing written yet
+            return False
+
+    any_totals = [has_totals()]
+    return (decoded.writeStream.queryName("impressions").option("checkpointLocation", checkpoint)
+            .foreachBatch(process).trigger(**(trigger or {"processingTime": "1 second"})).start())
