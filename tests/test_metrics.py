@@ -78,12 +78,15 @@ def test_latest_n_uses_partial_group_limit(spark):
 
 def test_route_by_target_reports_unhandled(spark):
     env = spark.createDataFrame(
-        [("rawCount", 10, "100"), ("geoImpsCounts", 10, '[{"key":"FL","count":14},{"key":"CO","count":17}]'),
-         ("geoAvgBids", 10, '{"ts":12,"data":[{"key":"FL","count":9}]}'), ("logs", 10, '{"id":1}')],
+        [("rawCount", 10, "100"), ("geoImpsCounts", 10, '[{"key":"FL","count":3},{"key":"CO","count":8}]'),
+         ("geoAvgBids", 10, '{"ts":12,"data":[{"key":"FL","count":9}]}'), ("logs", 10, '[{"id":1,"size":200,"storage":50}]'),
+         ("rawCount", 11, "many"), ("geoImpsCounts", 11, "["), ("else", 11, "1")],
         "target string, ts bigint, data string")
-    got = rows(met.route_by_target(env), "target", "ts", "key", "value", "handled")
-    assert got == [("geoAvgBids", 12, "FL", 9, True), ("geoImpsCounts", 10, "CO", 17, True),
-                   ("geoImpsCounts", 10, "FL", 14, True), ("logs", 10, None, None, False),
+    out = met.route_by_target(env)
+    assert rows(out.where("not handled"), "target", "ts") == [("else", 11), ("geoImpsCounts", 11), ("rawCount", 11)]
+    got = rows(out.where("handled"), "target", "ts", "key", "value", "handled")
+    assert got == [("geoAvgBids", 12, "FL", 9, True), ("geoImpsCounts", 10, "CO", 8, True),
+                   ("geoImpsCounts", 10, "FL", 3, True), ("logs", 10, "1", 25, True),
                    ("rawCount", 10, "rawCount", 100, True)]
 
 
@@ -116,3 +119,18 @@ def test_display_formats(spark):
     got = sorted(r[0] for r in df.select(met.counter_text("v")).collect())
     assert got == ["0", "1,234,567", "999"]
     assert df.select(met.gauge_text("v")).first()[0] == "1234567"
+
+
+def test_empty_windows_count_zero(spark):
+    t = "TIMESTAMP_NTZ'2024-01-01 0{}:00:00'"
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (4, "a")], "h int, geo string").select(
+        F.timestamp_add("HOUR", "h", F.expr(t.format(0))).alias("window_start"), F.timestamp_add("HOUR", F.col("h") + 1, F.expr(t.format(0))).alias("window_end"))
+    out = met.group_count(df, fill="1 hour").orderBy("window_start").collect()
+    assert [r.pub_geo_count for r in out] == [2, 0, 0, 1]
+
+
+def test_envelope_message_holds_the_payload(spark):
+    import json
+    env = spark.createDataFrame([("geoImpsCounts", 1, '[{"key":"FL","count":3}]'), ("rawCount", 2, "100")], "target string, ts bigint, data string")
+    got = [json.loads(r.value) for r in met.envelope_messages(env).collect()]
+    assert got == [{"data": [{"key": "FL", "count": 3}], "target": "geoImpsCounts"}, {"data": 100, "target": "rawCount"}]

@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from adpulse.plans import BATCH_QUERIES
+from adpulse.plans import BATCH_QUERIES, STREAM_QUERIES
 from conftest import SF_SMALL
 from tools.oracle_check import TABLES, compare
 
@@ -18,20 +18,17 @@ def con():
     return c
 
 
-APPROXIMATE = {"uniques_one_shot"}  # no exact SQL equivalent; see test_aggregate
-
-
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == APPROXIMATE
+    assert {**BATCH_QUERIES, **STREAM_QUERIES}.keys() <= entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(set(BATCH_QUERIES) - APPROXIMATE))
+@pytest.mark.parametrize("name", sorted(BATCH_QUERIES))
 def test_batch_query_matches_oracle(spark, con, name):
     r = compare(name, spark, con, SF_SMALL, entry.queries(), entry.oracle_sql())
     assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
 
 
-@pytest.mark.parametrize("name", ["stream_coarse_agg", "stream_late_data"])
+@pytest.mark.parametrize("name", ["stream_job_metrics", "stream_arrival_totals", "stream_watermark"])
 def test_stream_query_matches_oracle(spark, con, name):
     r = compare(name, spark, con, SF_SMALL, entry.queries(), entry.oracle_sql())
     assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r

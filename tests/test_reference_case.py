@@ -3,6 +3,7 @@
 from adpulse.operators.metrics import sum_by_key
 
 
+# The pairs and sums of the reference's test.
 def test_convert_list_to_map(spark):
     raw = spark.createDataFrame(
         [("CO", 123), ("UT", 123), ("CO", 123), ("AZ", 123), ("CO", 123), ("UT", 123)],

@@ -72,8 +72,7 @@ def main(argv=None):
                  "ReadSchema:", "", "```", schemas, "```", ""]
     lines += ["Scans of 0: the query reads a checkpointed intermediate (its single scan",
               "ran inside the checkpoint). Shuffles after the first one carry",
-              "pre-aggregated rows. The one shuffle of the decode queries spreads the",
-              "single-split test table over the cores; a large input is not repartitioned.",
+              "pre-aggregated rows.",
               "", *summary, "", *body]
     lines += stream_plan(spark)
     with open(args.out, "w") as f:
