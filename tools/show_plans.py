@@ -30,13 +30,15 @@ def stream_plan(spark) -> list[str]:
     import contextlib
     import io
 
-    from adpulse.plans.streams import _coarse, messages
+    from adpulse.operators import aggregate as agg
+    from adpulse.plans.catalog import COARSE, FINE
+    from adpulse.plans.streams import messages
     from adpulse.session import work_dir
-    from adpulse.streaming.sources import message_stream
+    from adpulse.streaming import jobs
 
     d = work_dir(spark, "plan")
-    messages(spark, "/root/testdata/sf0.001").select("value").write.text(f"{d}/in")
-    q = (_coarse(message_stream(spark, "text", f"{d}/in")).writeStream.format("noop")
+    fine = jobs.fine_stream(jobs.impression_stream(messages(spark, "/root/testdata/sf0.001")), FINE)
+    q = (agg.finalise(jobs.coarse_stream(fine, COARSE, FINE)).writeStream.format("noop")
          .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     buf = io.StringIO()
@@ -44,7 +46,7 @@ def stream_plan(spark) -> list[str]:
         q.explain()
     tree = [re.sub(r"\(keys=.*|\[.*", "", ln).rstrip() for ln in buf.getvalue().splitlines()
             if re.match(r"^\s*([:+-]|\*|\w)", ln) and "Physical Plan" not in ln]
-    return ["## stream_coarse_agg (streaming, chained stateful windows)", "",
+    return ["## chained stateful windows (streaming)", "",
             "Partial aggregate before each exchange; state store restore/save per operator.", "",
             "```", *tree, "```", ""]
 
