@@ -31,6 +31,10 @@ RATES = {
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+def _key(name: str) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), F.col(name)), F.lit("-"))
+
+
 def _rate(name: str) -> Column:
     part, whole, _ = RATES[name]
     return F.col(part) / F.greatest(whole, F.lit(1))
@@ -88,10 +92,11 @@ def thresholds(rows: DataFrame) -> DataFrame:
     def merged(suffix: str) -> list[Column]:
         return [F.sum("n").alias("n" + suffix), *[F.kll_merge_agg_double(name).alias(name + suffix) for name in RATES]]
 
-    by_lang = groups.groupBy(F.col("lang").alias("lang_")).agg(*merged("_lang"))
-    overall = groups.groupBy(F.lit(1).alias("one")).agg(*merged("_all"))
-    levels = (groups.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_")))
-              .withColumn("one", F.lit(1)).join(overall, "one"))
+    # joined on keys that are never null; "any" is true for every group
+    keyed = groups.withColumns({"lang_key": _key("lang"), "any": F.col("n") > 0})
+    by_lang = keyed.groupBy("lang_key").agg(*merged("_lang"))
+    overall = keyed.groupBy("any").agg(*merged("_all"))
+    levels = keyed.join(by_lang, "lang_key").join(overall, "any")
     out = []
     for name, (_, _, least) in RATES.items():
         sketch = F.when(F.col("n") >= LEAST_ROWS, F.col(name)).when(F.col("n_lang") >= LEAST_ROWS, F.col(name + "_lang")).otherwise(F.col(name + "_all"))
@@ -106,8 +111,9 @@ def _judged(df: DataFrame, text_col: str, lang_col: str, source_col: str) -> Dat
     rows = packed(df, quoted(text_col).alias("given"), quoted(lang_col).alias("lang"), quoted(source_col).alias("source"))
     rows = stored(base_counts(rows, F.col("given")).drop("given"), "rules-counts")
     limits = stored(thresholds(rows), "rules-thresholds")
-    limits = small(limits.withColumnsRenamed({"lang": "lang_", "source": "source_"}), limits.count() * 256)
-    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
+    keys = {"lang_key": _key("lang"), "source_key": _key("source")}
+    limits = small(limits.withColumns(keys).drop("lang", "source"), limits.count() * 256)
+    joined = rows.withColumns(keys).join(limits, list(keys), "left")
     usual = F.lit(True)
     for name in RATES:
         usual = usual & F.coalesce(_rate(name).between(F.col(name + "_low"), F.col(name + "_high")), F.lit(True))
