@@ -259,3 +259,20 @@ def decode(df: DataFrame, vocabulary: bytes, pattern: str, ids_col: str = "ids")
     ship(df.sparkSession)
     rows = packed(df, bytes_of(quoted(ids_col)).alias("decoded"))
     return unpacked(rows, df.columns, {"decoded": F.col("decoded")})
+
+
+def encode_and_decode(df: DataFrame, vocabulary: bytes, pattern: str, text_col: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: all rows and columns of ``df``
+    with ``ids``, ``n_tokens`` and ``decoded``. Nothing is written between the
+    two, and a task needs one Python worker."""
+    ship(df.sparkSession)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = codec(vocabulary, pattern)
+        for texts in batches:
+            ids = own.encode([t or "" for t in texts])
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series(own.decode(ids), dtype=object)})
+
+    rows = packed(df, both(quoted(text_col)).alias("b"))
+    return unpacked(rows, df.columns, {"ids": F.col("b.ids"), "n_tokens": (F.octet_length("b.ids") / 4).cast("long"), "decoded": F.col("b.decoded")})

@@ -35,7 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids and what these decode to."""
     content, pattern = queries.vocabulary()
-    return bpe.decode(common.stored(bpe.encode(docs, content, pattern), "corpus-tokens"), content, pattern)
+    return bpe.encode_and_decode(docs, content, pattern)
 
 
 STAGES = [("quality classifier", quality), ("exact dedup", exact), ("SimHash near-dedup", near),

@@ -60,4 +60,7 @@ def test_table_of_odd_rows(odd, none, content, reference):
     for r in rows:
         want = reference(r.text or "")
         assert bytes(r.ids) == want and r.n_tokens == len(want) // 4 and bytes(r.decoded) == (r.text or "").encode()
+    at_once = bpe.encode_and_decode(odd, content, public_tokenizers.PATTERN)
+    assert sorted(map(str, at_once.select(encoded.columns).collect())) == sorted(map(str, encoded.collect()))
+    assert all(bytes(r.decoded) == (r.text or "").encode() for r in at_once.collect())
     assert bpe.encode(none, content, public_tokenizers.PATTERN).count() == 0
