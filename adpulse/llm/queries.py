@@ -72,7 +72,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    judged = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), carry=["doc_id"])
     return judged.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join("removed_lines", ",").alias("removed_lines"))
 
 
