@@ -70,7 +70,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     label are left aside; of several labels of one id the largest counts."""
     known = (labels.select(quoted(id_col).alias("id"), quoted(label_col).cast("int").alias("y"))
              .where(F.col("y").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")))
-    rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).join(known, "id")
+    # the ids of the sample, at most 4,000, are chosen before their texts are fetched
+    chosen = [known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(2 * PER_LABEL) for y in (0, 1)]
+    rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).join(F.broadcast(chosen[0].union(chosen[1])), "id")
     x, y = feature_lists(sampled(rows, "y"), "y", grams)
     scale = linear.log_count_ratios(x, y) if y else np.zeros(linear.WIDTH)
     weights, bias = linear.train(x, y, scale)
