@@ -129,8 +129,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[
     good = posteriors(counts)
     if not good:
         return Model(feature_scale() * 0, feature_scale() ** 2, 0.0), good
-    posterior = F.element_at(F.create_map(*[F.lit(x) for pair in good.items() for x in pair]), F.col("votes"))
-    known = voted.withColumn("y", posterior).withColumn("side", (F.col("y") >= 0.5).cast("int"))
+    table = df.sparkSession.createDataFrame(list(good.items()), "votes string, y double")
+    known = voted.join(F.broadcast(table), "votes").withColumn("side", (F.col("y") >= 0.5).cast("int"))
     # the rows of the sample, at most 4,000, are chosen by hash before their texts are fetched
     chosen = [known.where(F.col("side") == y).orderBy("h", "id").limit(2000).select("h", "y", "side") for y in (0, 1)]
     wanted = chosen[0].union(chosen[1]).dropDuplicates(["h"])
