@@ -195,18 +195,18 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
             order_of = np.repeat(np.array([r[0] for r, _, _ in parsed], dtype=np.int64), sizes)
             key = np.repeat(np.array([r[1] for r, _, _ in parsed], dtype=np.int64), sizes)
             order = np.lexsort((key, name))
-            name, key, order_of = name[order], key[order], order_of[order]
-            head = np.r_[True, name[1:] != name[:-1]]
-            heads = np.flatnonzero(head)
+            by_name, by_key = name[order], key[order]
+            heads = np.flatnonzero(np.r_[True, by_name[1:] != by_name[:-1]])
             count = np.diff(np.r_[heads, len(name)])
-            alike = np.repeat(key[heads] != key[heads + count - 1], count)  # shared within the batch
-            kind = np.where(alike, KNOWN, ASK).astype(np.int32)
-            salt = np.where(alike, order_of ^ key, 0)
-            out = _batch(name=name, salt=salt, ord=order_of, key=key, kind=kind)
-            yield out
-            marks = heads[alike[heads]]
+            shared = by_key[heads] != by_key[heads + count - 1]  # within the batch
+            alike = np.empty(len(name), dtype=bool)
+            alike[order] = np.repeat(shared, count)
+            # document by document, so that equal ids follow one another and compress
+            yield _batch(name=name, salt=np.where(alike, order_of ^ key, 0), ord=order_of, key=key,
+                         kind=np.where(alike, KNOWN, ASK).astype(np.int32))
+            marks = heads[shared]
             zero = np.zeros(len(marks), dtype=np.int64)
-            yield _batch(name=name[marks], salt=zero, ord=zero, key=key[marks], kind=np.full(len(marks), MARK, dtype=np.int32))
+            yield _batch(name=by_name[marks], salt=zero, ord=zero, key=by_key[marks], kind=np.full(len(marks), MARK, dtype=np.int32))
 
     rows = docs.mapInArrow(anchors, "name long, salt long, ord long, key long, kind int")
     same = Window.partitionBy("name", "salt")
@@ -231,9 +231,10 @@ def earlier_windows(docs: DataFrame, window: int) -> DataFrame:
                 continue
             h, g, order_of, key = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((order_of, g, h))
-            h, g, order_of, key = h[order], g[order], order_of[order], key[order]
-            heads = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])])
-            least = np.repeat(order_of[heads], np.diff(np.r_[heads, len(h)]))
+            by_h, by_g = h[order], g[order]
+            heads = np.flatnonzero(np.r_[True, (by_h[1:] != by_h[:-1]) | (by_g[1:] != by_g[:-1])])
+            least = np.empty(len(h), dtype=np.int64)
+            least[order] = np.repeat(order_of[order][heads], np.diff(np.r_[heads, len(h)]))
             later = order_of > least
             yield _batch(h=h, g=g, salt=np.where(later, order_of ^ key, 0), ord=order_of, key=key,
                          kind=np.where(later, KNOWN, ASK).astype(np.int32))
