@@ -130,10 +130,11 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[
     if not good:
         return Model(feature_scale() * 0, feature_scale() ** 2, 0.0), good
     table = df.sparkSession.createDataFrame(list(good.items()), "votes string, y double")
-    known = voted.join(F.broadcast(table), "votes").withColumn("side", (F.col("y") >= 0.5).cast("int"))
-    # the rows of the sample, at most 4,000, are chosen by hash before their texts are fetched
-    chosen = [known.where(F.col("side") == y).orderBy("h", "id").limit(2000).select("h", "y", "side") for y in (0, 1)]
-    wanted = chosen[0].union(chosen[1]).dropDuplicates(["h"])
+    known = (voted.join(F.broadcast(table), "votes").groupBy("h").agg(F.min("y").alias("y"))
+             .withColumn("side", (F.col("y") >= 0.5).cast("int")))
+    # the texts of the sample, at most 4,000, are chosen by hash, copies counted once, before they are fetched
+    chosen = [known.where(F.col("side") == y).orderBy("h").limit(2000) for y in (0, 1)]
+    wanted = chosen[0].union(chosen[1])
     rows = (df.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
             .join(F.broadcast(wanted), "h").groupBy("h").agg(*[F.min(c).alias(c) for c in ("id", "text", "y", "side")]).drop("h"))
     x, y = feature_lists(sampled(rows, "side"), "y", Features)

@@ -43,11 +43,16 @@ def held_out(ids: Column) -> Column:
 
 def sampled(rows: DataFrame, label: str, per_label: int = PER_LABEL, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """``rows``: (id, text, <label> 0 or 1). A sample of each label in the
-    order of a hash of id and text, up to the two bounds."""
+    order of a hash of id and text, up to the two bounds. A text above the
+    bound of bytes by itself is passed over; a label that has no other texts
+    keeps one of them."""
     rows = rows.withColumns({"h": F.xxhash64("id", "text"), "size": F.coalesce(F.octet_length("text"), F.lit(0))})
-    parts = [rows.where(F.col(label) == y).orderBy("h", "id").limit(per_label) for y in (0, 1)]
-    upto = Window.partitionBy(label).orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0)
-    return parts[0].union(parts[1]).withColumn("upto", F.sum("size").over(upto)).where(F.col("upto") <= most_bytes // 2)
+    order = [F.col("size") > most_bytes // 2, "h", "id"]
+    parts = [rows.where(F.col(label) == y).orderBy(*order).limit(per_label) for y in (0, 1)]
+    upto = Window.partitionBy(label).orderBy(*order)
+    return parts[0].union(parts[1]).withColumns({
+        "upto": F.sum("size").over(upto.rowsBetween(Window.unboundedPreceding, 0)), "place": F.row_number().over(upto)
+    }).where((F.col("upto") <= most_bytes // 2) | (F.col("place") == 1))
 
 
 def feature_lists(rows: DataFrame, label: str, features) -> tuple[list[np.ndarray], list[float]]:

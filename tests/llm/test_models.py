@@ -118,3 +118,30 @@ def test_quality_of_odd_rows(odd, none):
     empty, posteriors = quality_model.fit(none)
     assert posteriors == {} and quality_model.quality(none, empty).count() == 0
     assert quality_model.good_documents(odd).columns == odd.columns
+
+
+def test_sample_passes_over_oversized_texts(spark):
+    small = [(i, f"text {i}", y) for y in (0, 1) for i in range(3)]
+    big = [(100 + i, "x" * 600, y) for y in (0, 1) for i in range(30)]
+    rows = spark.createDataFrame(small + big, "id long, text string, y int")
+    got = toxicity.sampled(rows, "y", per_label=10, most_bytes=1000).collect()
+    assert sorted((r.id, r.text, r.y) for r in got) == sorted(small)
+    only = toxicity.sampled(rows.where("id >= 100"), "y", most_bytes=1000).collect()
+    assert sorted(r.y for r in only) == [0, 1]
+
+
+def test_quality_sample_counts_copies_once(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = spark.createDataFrame([(prose(rng, 60),) for _ in range(200)], "text string")
+    lowest = texts.selectExpr("text", "xxhash64(text) AS h").orderBy("h").first().text
+    docs = texts.selectExpr("monotonically_increasing_id() AS doc_id", "text").union(
+        spark.range(10_000_000_000_000, 10_000_000_002_500).selectExpr("id", f"'{lowest}'"))
+    sampled = []
+
+    def feature_lists(rows, label, features):
+        sampled.extend(r.text for r in rows.collect())
+        return toxicity.feature_lists(rows, label, features)
+
+    monkeypatch.setattr(quality_model, "feature_lists", feature_lists)
+    quality_model.fit(docs)
+    assert len(sampled) == len(set(sampled)) == 200
