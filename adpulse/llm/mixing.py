@@ -101,14 +101,15 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     seed: int = 23) -> DataFrame:
     """The mix itself, with the columns of ``df``: a row for each epoch of a
     document that the mix takes. The one document per source at which the
-    budget ends keeps its first words, joined by single spaces. A document
-    without words takes no budget and stays once."""
+    budget ends keeps its text as it stands up to its last word within the
+    budget. A document without words takes no budget and stays once."""
     mixed = _mixed(df, None, id_col, text_col, source_col, seed)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1)
     mixed = mixed.withColumns({"whole": whole, "rest": F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)})
     copies = F.col("whole") + (F.col("rest") > 0).cast("long")
     text = F.col("row")[text_col]
-    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("rest").cast("int")), " ")
+    spaced = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    cut = F.array_join(F.slice(spaced, F.lit(1), F.col("rest").cast("int")), "")
     out = mixed.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     taken = F.when(F.col("copy") > F.col("whole"), cut).otherwise(text)
     return out.select(*[(taken if c == text_col else F.col("row")[c]).alias(c) for c in df.columns])

@@ -61,3 +61,13 @@ def test_empty_tables_and_texts(spark, none):
     assert mixing.mix_sources(none).count() == 0
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [(r.size, r.taken, r.target) for r in mixing.mix_sources(blank).collect()] == [(0, 0, 0.0)] * 2
+
+
+def test_documents_keep_their_spacing(spark):
+    text = " one\ttwo\n\n  three   four\nfive "
+    rows = [(i, text, s) for s in ("a", "b", "c") for i in range(5)]
+    out = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    cut = [r.text for r in out if r.text != text]
+    assert cut and all(text.startswith(t) and t.split() for t in cut)
+    assert sum(len(words(r.text)) for r in out) == sum(r.taken for r in mixing.mix_sources(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
