@@ -13,13 +13,15 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adpulse.functions.columns import epoch_seconds, truncated_int
+from adpulse.functions.columns import duration_seconds, epoch_seconds, truncated_int
 from adpulse.functions.constants import (CHART_CEILING, CHART_GEO_ORDER, CHART_WINDOW_SIZE,
                                          INGEST_REPORT_STEP, TARGET_FILE_LOGS, TARGET_GEO_AVG_BIDS,
                                          TARGET_GEO_IMPS, TARGET_PUB_GEO_COUNT,
                                          TARGET_RAW_COUNT, TARGET_STORED_COUNT)
 from adpulse.operators.aggregate import event_time, window_bounds
+from adpulse.session import materialize
 
+BLOCK_WINDOWS = 4096  # windows that one task makes at a time
 WINDOW_COLS = ("window_start", "window_end")
 
 
@@ -33,15 +35,22 @@ def geo_impressions(results: DataFrame, by: Sequence[str] = WINDOW_COLS) -> Data
 def group_count(results: DataFrame, by: Sequence[str] = WINDOW_COLS, fill: str | None = None) -> DataFrame:
     """Number of (publisher, geo) groups per window. With ``fill``, the length
     of the windows, a window between the first and the last that has no group
-    counts 0 (only the two bounds meet in one task; the windows between them
-    are generated from these)."""
+    counts 0. The counts, one row per window that has a group, are checkpointed
+    and read for the bounds and for the join. The span between the
+    bounds is cut into blocks, and the windows of a block are made in its task."""
     counts = results.groupBy(*by).agg(F.count(F.lit(1)).alias("pub_geo_count"))
     if fill is None:
         return counts
+    counts = materialize(counts.select("window_start", "pub_geo_count"))
     step = F.expr(f"INTERVAL {fill}")
-    bounds = results.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).where("lo IS NOT NULL")
-    every = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("window_start"))
-    return (every.join(counts.select("window_start", "pub_geo_count"), "window_start", "left")
+    bounds = counts.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).where("lo IS NOT NULL")
+    seconds = duration_seconds(fill)
+    n = F.timestamp_diff("SECOND", F.col("lo"), F.col("hi")) / seconds
+    blocks = bounds.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.floor(n / BLOCK_WINDOWS))).alias("block")).repartition("block")
+    first = F.timestamp_add("SECOND", F.col("block") * (BLOCK_WINDOWS * seconds), F.col("lo"))
+    last = F.least("hi", F.timestamp_add("SECOND", F.lit((BLOCK_WINDOWS - 1) * seconds), F.col("first")))
+    every = blocks.withColumn("first", first).select(F.explode(F.sequence("first", last, step)).alias("window_start"))
+    return (every.join(counts, "window_start", "left")
             .select("window_start", (F.col("window_start") + step).alias("window_end"),
                     F.coalesce("pub_geo_count", F.lit(0)).alias("pub_geo_count")))
 

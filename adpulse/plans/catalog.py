@@ -127,7 +127,10 @@ def q_uniques_one_shot(spark, base):
     """The one-shot estimate is approximate: beside the exact count, whether
     it lies within three standard errors (and one) of it."""
     known = known_geo(impressions(spark, base))
-    both = agg.uniques_exact(known).join(agg.uniques_one_shot(known).withColumnRenamed("uniques", "estimate"), list(agg.KEYS))
+    # per cookie first: the exact count and the sketch read one (keys, cookie) exchange
+    cookies = known.groupBy(*agg.KEYS, "cookie").agg(F.count(F.lit(1)).alias("n"))
+    both = cookies.groupBy(*agg.KEYS).agg(F.count("cookie").alias("uniques"),
+                                          F.approx_count_distinct("cookie", agg.ONE_SHOT_RSD).alias("estimate"))
     bound = 3 * agg.ONE_SHOT_RSD * F.col("uniques") + 1
     return both.select(*agg.KEYS, "uniques", (F.abs(F.col("estimate") - F.col("uniques")) <= bound).alias("within_bound"))
 

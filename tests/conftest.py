@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,9 +12,3 @@ def spark():
     s = build_session("local[*]", shuffle_partitions=8)
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples, for order-insensitive comparisons."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

@@ -5,7 +5,7 @@ import pytest
 from adpulse.sources import codec
 from adpulse.sources.impressions import impressions_from_events
 from adpulse.sources.tables import read_table
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 
 GOOD = {"timestamp": 1, "publisher": "publisher_1", "advertiser": "advertiser_0",
         "website": "website_1.com", "geo": "NY", "bid": 0.5, "cookie": "cookie_1"}

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from adpulse.operators import metrics as met
-from conftest import rows
+from helpers import rows
 
 W0 = dt.datetime(2024, 1, 1, 0)
 W1 = dt.datetime(2024, 1, 1, 1)

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from adpulse.plans import BATCH_QUERIES, STREAM_QUERIES
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tools.oracle_check import TABLES, compare
 
 

@@ -4,7 +4,7 @@ nested-loop joins, and scans read only the columns they need."""
 import pytest
 
 from adpulse.plans import BATCH_QUERIES
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 @pytest.mark.parametrize("name", sorted(BATCH_QUERIES))

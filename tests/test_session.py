@@ -1,7 +1,7 @@
 import os
 
 from adpulse.session import materialize, work_dir
-from conftest import rows
+from helpers import rows
 
 
 def test_work_dir_lives_under_the_checkpoint_dir(spark):

@@ -3,7 +3,7 @@ import datetime as dt
 from adpulse.session import work_dir
 from adpulse.sources.sinks import (batch_writer, decode_dates, encode_dates, stored_count,
                                    write_results)
-from conftest import rows
+from helpers import rows
 
 
 def _results(spark, day, n):

@@ -10,7 +10,7 @@ from adpulse.sources import codec
 from adpulse.sources.sinks import batch_writer
 from adpulse.streaming import jobs
 from adpulse.streaming.sources import message_stream, topic_sink_options, write_topic
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 from replay import retried, run_slices
 
 ONCE = {"availableNow": True}
