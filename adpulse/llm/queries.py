@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import (bpe, exact_dedup, line_dedup, mixing, quality_model, quality_rules, sharding, simhash, substring,
+from adpulse.llm import (bpe, exact_dedup, line_dedup, mixing, piece_bpe, quality_model, quality_rules, sharding, simhash, substring,
                          toxicity)
 from adpulse.llm.common import documents, stored
 
@@ -76,6 +76,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join("removed_lines", ",").alias("removed_lines"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    model = piece_bpe.read_file(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = piece_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), model)
+    decoded = piece_bpe.decode(stored(encoded.select("doc_id", "ids", "n_tokens"), "pieces"), model)
+    return decoded.select("doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -87,6 +96,7 @@ QUERIES = {
     "op8_substring": op8_substring,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op12_sentencepiece": op12_sentencepiece,
 }
 
 ORACLE_SQL = {
