@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import (bpe, exact_dedup, line_dedup, mixing, piece_bpe, quality_model, quality_rules, sharding, simhash, substring,
+from adpulse.llm import (bpe, conversations, exact_dedup, line_dedup, mixing, piece_bpe, quality_model, quality_rules, sharding, simhash, substring,
                          toxicity)
 from adpulse.llm.common import documents, stored
 
@@ -85,6 +85,11 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return conversations.repair(conversations.damaged(table), ids=table).conversations
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -97,6 +102,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLE_SQL = {
@@ -154,4 +160,62 @@ ORACLE_SQL = {
         SELECT t.doc_id, count(j.no) AS n_lines, count(*) FILTER (again) AS n_exact, count(*) FILTER (near AND NOT again) AS n_near,
                coalesce(string_agg(CAST(j.no AS VARCHAR), ',' ORDER BY j.no) FILTER (again OR near), '') AS removed_lines
         FROM t LEFT JOIN j USING (doc_id) GROUP BY t.doc_id""",
+    "op13_conversations": r"""
+        WITH RECURSIVE polynomial AS (
+          SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+        c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                     list_transform(string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''),
+                                    lambda x: CAST(ascii(x) AS BIGINT)) AS bytes FROM conversations),
+        k AS (SELECT conv_id, turn, role, text,
+                     xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind
+              FROM c, polynomial),
+        d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                     CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                     unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+              FROM k WHERE kind <> 0),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM d),
+        o AS (SELECT *, row_number() OVER w AS place, lag(role) OVER w AS role_before
+              FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth)),
+        f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                             WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault FROM o),
+        s AS (SELECT *, left(role, 1) AS initial, fault IS NOT NULL AND fault <> 'truncated' AS gone,
+                     CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM f),
+        best(conv_id, place, q, l) AS (
+          SELECT conv_id, 0::BIGINT, q, {'c': c, 'a': a, 'k': k}
+          FROM (SELECT DISTINCT conv_id FROM s), (VALUES ('', 0, '', ''), ('u', 5, 'I', 'u'), ('a', 10, 'II', 'ua')) v(q, c, a, k)
+          UNION ALL
+          SELECT conv_id, place, q, min(l) FROM (
+            SELECT conv_id, place, CASE ins WHEN 0 THEN q WHEN 1 THEN nxt ELSE CASE WHEN nxt = 'u' THEN 'a' ELSE 'u' END END AS q,
+                   {'c': c + 5 * ins, 'a': concat(a, repeat('I', ins)),
+                    'k': concat(k, CASE ins WHEN 0 THEN '' WHEN 1 THEN nxt ELSE concat(nxt, CASE WHEN nxt = 'u' THEN 'a' ELSE 'u' END) END)} AS l
+            FROM (
+              SELECT *, CASE WHEN q = 'u' THEN 'a' ELSE 'u' END AS nxt FROM (
+                SELECT b.conv_id, s.place, e.letter, CASE e.letter WHEN 'D' THEN b.q WHEN 'K' THEN s.initial ELSE CASE WHEN b.q = 'u' THEN 'a' ELSE 'u' END END AS q,
+                       b.l.c + CASE e.letter WHEN 'D' THEN 2 WHEN 'K' THEN s.extra ELSE 1 + s.extra END AS c, concat(b.l.a, e.letter) AS a,
+                       concat(b.l.k, CASE e.letter WHEN 'R' THEN CASE WHEN b.q = 'u' THEN 'A' ELSE 'U' END ELSE e.letter END) AS k
+                FROM best b JOIN s ON s.conv_id IS NOT DISTINCT FROM b.conv_id AND s.place = b.place + 1, (VALUES ('D'), ('K'), ('R')) e(letter)
+                WHERE e.letter = 'D' OR NOT s.gone AND (e.letter = 'R' OR s.initial = CASE WHEN b.q = 'u' THEN 'a' ELSE 'u' END OR b.q = '' AND s.initial = 's'))
+              ), range(3) r(ins))
+          GROUP BY conv_id, place, q),
+        ends AS (SELECT conv_id, max(place) AS place FROM s GROUP BY conv_id),
+        won AS (SELECT b.conv_id, min(b.l) AS l FROM best b JOIN ends e ON b.conv_id IS NOT DISTINCT FROM e.conv_id AND b.place = e.place
+                WHERE b.q IN ('', 'a') GROUP BY b.conv_id),
+        acts AS (SELECT conv_id, unnest(x) AS act, generate_subscripts(x, 1) AS place
+                 FROM (SELECT conv_id, regexp_extract_all(l.k, '[ua]*[KUAD]|[ua]+$') AS x FROM won)),
+        lines AS (SELECT a.conv_id, a.place, generate_subscripts(string_split(act, ''), 1) AS part, unnest(string_split(act, '')) AS m, s.role, s.text
+                  FROM acts a LEFT JOIN s ON a.conv_id IS NOT DISTINCT FROM s.conv_id AND a.place = s.place),
+        said AS (SELECT conv_id, string_agg(CASE m WHEN 'u' THEN 'user:' WHEN 'a' THEN 'assistant:' WHEN 'U' THEN concat('user:', text)
+                                                  WHEN 'A' THEN concat('assistant:', text) ELSE concat(role, ':', text) END, chr(10) ORDER BY place, part) AS said
+                 FROM lines WHERE m <> 'D' GROUP BY conv_id),
+        counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                          count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                          count(*) FILTER (role_before IS NOT NULL AND concat(left(role_before, 1), initial) NOT IN ('su', 'ua', 'au')) AS illegal
+                   FROM s GROUP BY conv_id)
+        SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(w.l.c, 0)::BIGINT AS cost, coalesce(w.l.a, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) i
+        LEFT JOIN counts t ON i.conv_id IS NOT DISTINCT FROM t.conv_id
+        LEFT JOIN won w ON i.conv_id IS NOT DISTINCT FROM w.conv_id
+        LEFT JOIN said z ON i.conv_id IS NOT DISTINCT FROM z.conv_id""",
 }
