@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adpulse.llm import (bpe, conversations, exact_dedup, line_dedup, mixing, piece_bpe, quality_model, quality_rules, sharding, simhash, substring,
+from adpulse.llm import (bpe, conversations, exact_dedup, line_dedup, mixing, piece_bpe, quality_model, quality_rules, sharding, simhash, spelling, substring,
                          toxicity)
 from adpulse.llm.common import documents, stored
 
@@ -76,6 +76,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_lines", "n_exact", "n_near", F.array_join("removed_lines", ",").alias("removed_lines"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.damaged_words(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     model = piece_bpe.read_file(public_tokenizers.path("piece_bpe_32k.model"))
@@ -101,6 +105,7 @@ QUERIES = {
     "op8_substring": op8_substring,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling": op11_spelling,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_conversations": op13_conversations,
 }
@@ -160,6 +165,27 @@ ORACLE_SQL = {
         SELECT t.doc_id, count(j.no) AS n_lines, count(*) FILTER (again) AS n_exact, count(*) FILTER (near AND NOT again) AS n_near,
                coalesce(string_agg(CAST(j.no AS VARCHAR), ',' ORDER BY j.no) FILTER (again OR near), '') AS removed_lines
         FROM t LEFT JOIN j USING (doc_id) GROUP BY t.doc_id""",
+    "op11_spelling": r"""
+        WITH RECURSIVE polynomial AS (
+          SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+        u AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                     unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{6,}')) AS run FROM documents),
+        r AS (SELECT id, run, count(*) AS times FROM u GROUP BY ALL),
+        b AS (SELECT run, times, list_transform(regexp_extract_all(hex(concat(id, ':', run)), '..'), lambda x: CAST(concat('0x', x) AS BIGINT)) AS bytes FROM r),
+        h AS (SELECT run, times, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, c: xor(a >> 8, tab[(xor(a, c) & 255) + 1])), 4294967295) AS h
+              FROM b, polynomial),
+        w AS (SELECT CASE WHEN h % 199 = 0 THEN concat(substr(run, 1, CAST(h % length(run) AS BIGINT)), substr(run, CAST(h % length(run) AS BIGINT) + 2)) ELSE run END AS word, times FROM h),
+        v AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+        s AS (SELECT word, n, i, concat(substr(word, 1, i), substr(word, i + 2)) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+        p AS (SELECT a.word, b.word AS other, b.n AS other_n FROM s a JOIN s b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+              UNION SELECT s.word, v.word, v.n FROM s JOIN v ON s.rest = v.word
+              UNION SELECT v.word, s.word, s.n FROM s JOIN v ON s.rest = v.word),
+        q AS (SELECT word, count(DISTINCT other) AS n_near, min({'m': -other_n, 'w': other}) AS best FROM p GROUP BY word),
+        f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.m >= 5 * v.n THEN best.w END AS form,
+                     CASE WHEN -best.m >= 5 * v.n THEN -best.m END AS form_n FROM v LEFT JOIN q ON v.word = q.word),
+        t(word, root) AS (SELECT word, word FROM f WHERE form IS NULL UNION ALL SELECT f.word, t.root FROM t JOIN f ON f.form = t.word)
+        SELECT f.word, f.form, t.root, f.n, n_near, form_n FROM f JOIN t ON f.word = t.word""",
     "op13_conversations": r"""
         WITH RECURSIVE polynomial AS (
           SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
