@@ -191,6 +191,7 @@ def marked(conversations: DataFrame) -> DataFrame:
     turn by role and text), the first fault of each (blank, duplicate,
     truncated or null), and whether its role may not follow the one before."""
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"))
+    rows = rows.repartition("conv_id")  # both windows read this one exchange
     same = Window.partitionBy("conv_id", "role", "text").orderBy(F.col("turn").asc_nulls_first())
     in_turn = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text", "nth")
     rows = rows.withColumn("nth", F.row_number().over(same)).select(
