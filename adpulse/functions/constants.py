@@ -20,6 +20,7 @@ HLL_LG_K = 12  # 2^12 registers, about 1.6 % standard error
 CHART_GEO_ORDER = ("CO", "CA", "FL", "HI", "NY")
 CHART_CEILING = 40
 CHART_WINDOW_SIZE = 30
+CHART_HISTORY = 60
 INGEST_REPORT_STEP = 100
 
 # Fixed values (metric targets of the envelope)

@@ -54,8 +54,9 @@ def fine_partials(impressions: DataFrame, window: str, slide: str | None = None,
 
 def merge_partials(partials: DataFrame, window: str, slide: str | None = None,
                    fine_window: str | None = None, keys=KEYS,
-                   time_col: Column | str | None = None) -> DataFrame:
-    """Re-window partials into coarser (tumbling or sliding) windows.
+                   time_col: Column | str | None = None, also: dict[str, Column] | None = None) -> DataFrame:
+    """Re-window partials into coarser (tumbling or sliding) windows;
+    ``also``: further aggregates to carry.
 
     Each fine window is placed by its ``window_time`` (last instant), which
     lies in exactly the coarse windows that contain the whole fine window when
@@ -77,8 +78,9 @@ def merge_partials(partials: DataFrame, window: str, slide: str | None = None,
             .agg(F.min("first_ts").alias("first_ts"),
                  F.sum("sum_bids").alias("sum_bids"),
                  F.sum("imps").alias("imps"),
-                 F.hll_union_agg("uniques_sketch").alias("uniques_sketch"))
-            .select("window", *keys, "first_ts", "sum_bids", "imps", "uniques_sketch"))
+                 F.hll_union_agg("uniques_sketch").alias("uniques_sketch"),
+                 *[value.alias(name) for name, value in (also or {}).items()])
+            .select("window", *keys, "first_ts", "sum_bids", "imps", "uniques_sketch", *(also or {})))
 
 
 def window_bounds(df: DataFrame) -> list[Column]:
@@ -93,9 +95,10 @@ def window_bounds(df: DataFrame) -> list[Column]:
     return out
 
 
-def finalise(partials: DataFrame, keys=KEYS) -> DataFrame:
+def finalise(partials: DataFrame, keys=KEYS, also: list[str] | None = None) -> DataFrame:
     """Partials -> stored result rows:
-    (window_start, window_end, publisher, geo, date, imps, uniques, avg_bids).
+    (window_start, window_end, publisher, geo, date, imps, uniques, avg_bids),
+    and the columns ``also``.
 
     ``avg_bids`` divides the merged sum by the merged count (never an average of
     averages); ``uniques`` is the sketch estimate.
@@ -107,6 +110,7 @@ def finalise(partials: DataFrame, keys=KEYS) -> DataFrame:
         F.col("imps"),
         F.hll_sketch_estimate("uniques_sketch").alias("uniques"),
         (F.col("sum_bids").cast("double") / F.col("imps")).alias("avg_bids"),
+        *(also or []),
     )
 
 

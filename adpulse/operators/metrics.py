@@ -283,13 +283,12 @@ def stored_metric(stored: DataFrame) -> DataFrame:
 
 
 def report_increment(counter: DataFrame, step: int = INGEST_REPORT_STEP) -> DataFrame:
-    """(value, total, window_end) of the message counter after a batch -> the
-    envelope row of what a producer that reports per ``step`` messages has
-    reported in it; none if that is nothing."""
+    """(value, total, ts) of the message counter after a batch -> the envelope
+    row of what a producer that reports per ``step`` messages has reported in
+    it; none if that is nothing."""
     reported = F.floor(F.col("total") / step) * step - F.floor((F.col("total") - F.col("value")) / step) * step
     return counter.where(reported > 0).select(
-        F.lit(TARGET_RAW_COUNT).alias("target"), F.unix_timestamp(F.col("window_end").cast("timestamp")).alias("ts"),
-        reported.cast("bigint").cast("string").alias("data"))
+        F.lit(TARGET_RAW_COUNT).alias("target"), "ts", reported.cast("bigint").cast("string").alias("data"))
 
 
 _PAIRS = "array<struct<key:string,count:bigint>>"

@@ -20,6 +20,7 @@ from adpulse.operators import aggregate as agg
 from adpulse.operators import metrics as met
 from adpulse.sources import codec
 from adpulse.session import materialize, work_dir
+from adpulse.sources.documents import read_documents, write_documents
 from adpulse.sources.impressions import impression_columns, impressions_from_events, known_geo
 from adpulse.sources.sinks import (decode_dates, encode_dates, stored_count, write_partials,
                                    write_results)
@@ -302,6 +303,17 @@ def q_stored_count(spark, base):
     return stored_count(spark, _store_fine_results(spark, base))
 
 
+def q_stored_documents(spark, base):
+    """Fine results upserted into a document store twice, first with wrong
+    counts: the last document of each key is read back."""
+    path = work_dir(spark, "documents") + "/store"
+    results = encode_dates(fine_results(spark, base)).select(epoch_millis("window_start").alias("window_ms"), *agg.KEYS, "date", "imps", "uniques")
+    results = materialize(results)
+    write_documents(results.withColumn("imps", F.lit(-1).cast("bigint")), path)
+    write_documents(results, path)
+    return read_documents(spark, path, ["window_ms", *agg.KEYS], "window_ms bigint, publisher string, geo string, date bigint, imps bigint, uniques bigint")
+
+
 def q_stored_rollup(spark, base):
     """Daily windows merged from stored hourly partials (sketches unioned):
     the raw events are not read again for the rollup."""
@@ -346,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "stored_results": q_stored_results,
     "stored_count": q_stored_count,
     "stored_rollup": q_stored_rollup,
+    "stored_documents": q_stored_documents,
 }
 
 FLAGSHIP = "fine_window_agg"

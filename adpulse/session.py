@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +70,24 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/adpulse/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors once per application, for
+    the functions and classes that their Python workers import."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix=f"{package.name}-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def materialize(df):
     """Cut lineage: write ``df`` to the shared checkpoint folder and read it
     back (reliable ``checkpoint``, so it survives executor loss). Used for small

@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 def message_stream(spark: SparkSession, kind: str = "text", path: str | None = None,
                    servers: str | None = None, topic: str | None = None,
-                   options: dict | None = None) -> DataFrame:
+                   options: dict | None = None, batch_limit: int | None = None) -> DataFrame:
+    """``batch_limit`` bounds what a micro-batch takes in: offsets of a topic,
+    or files. A job that starts behind its topic catches up in batches of that
+    size instead of one that holds everything."""
     opts = dict(options or {})
+    if batch_limit is not None:
+        opts["maxOffsetsPerTrigger" if kind == "kafka" else "maxFilesPerTrigger"] = str(batch_limit)
     if kind == "kafka":
         raw = (spark.readStream.format("kafka")
                .option("kafka.bootstrap.servers", servers).option("subscribe", topic)

@@ -114,7 +114,7 @@ def _job(spark, source, root, **options):
 
 
 def _store(spark, root):
-    return spark.read.parquet(f"{root}/store").drop("window_date")
+    return jobs.read_store(spark, root)
 
 
 def _coarse_batch(spark):
@@ -131,6 +131,7 @@ def test_whole_job_reads_raw_messages_once(spark):
     assert sum(p["numInputRows"] for p in query.recentProgress) == msgs.count()
     assert rows(_store(spark, root), *COLS) == rows(_coarse_batch(spark), *COLS)
     totals = {r.key: r.total for r in jobs.read_totals(spark, root).collect()}
+    assert len(totals) == 3 and totals["pubGeoCount"] == jobs.read_partials(spark, root).where("geo <> 'unknown'").count()
     assert totals["mongoCount"] == _store(spark, root).count() and totals["rawCount"] == msgs.count()
     targets = {r.target for r in jobs.read_metrics(spark, root).select("target").distinct().collect()}
     assert targets == {"pubGeoCount", "geoImpsCounts", "geoAvgBids", "mongoCount", "rawCount"}
@@ -154,9 +155,8 @@ def test_job_over_several_batches_late_messages_and_restarts(spark):
     # a new checkpoint reads the topic from its start: nothing counts twice, nothing is lost
     _job(spark, f"{folder}/in", root, checkpoint=f"{root}/_again")
     assert rows(_store(spark, root), *COLS) == rows(_coarse_batch(spark), *COLS)
-    files = [f for f in _store(spark, root).inputFiles()]
-    dates = spark.read.parquet(f"{root}/store").select("window_date").distinct().count()
-    assert len(files) <= 2 * dates
+    manifest = jobs.job_levels(spark, root).latest()
+    assert manifest.counters["rawCount"] == msgs.count() and sum(s.table == "partials" for s in manifest.segments) == 1
 
 
 def test_strict_job_fails_and_keeps_the_whole_message(spark):
@@ -178,7 +178,7 @@ def test_job_side_output_of_rejects(spark):
     want = rows(codec.rejects(codec.decode_permissive(damaged_messages(spark, SF_SMALL))).groupBy("reject_reason").count())
     assert got == want and len(got) == 8
     n_bad = sum(n for _, n in got)
-    accepted = spark.read.parquet(f"{root}/partials").agg(F.sum("imps")).first()[0]
+    accepted = jobs.read_partials(spark, root).agg(F.sum("imps")).first()[0]
     assert accepted + n_bad == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
 
 
