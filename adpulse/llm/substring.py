@@ -38,6 +38,7 @@ WINDOW = 13
 ROUNDS = 4
 FAR = 1 << 40
 WORDS_AT_ONCE = 1 << 20
+WORDS_AT_A_TIME = 1 << 16
 ASK, MARK, KNOWN = 0, 1, 2
 NO_ID = (1 << 63) - 1  # a null id comes after every other
 
@@ -58,22 +59,27 @@ def window_anchors(names: np.ndarray, starts: np.ndarray, window: int = WINDOW)
     words of the documents that ``names`` holds one after the other. Words at
     which no whole window starts get 0."""
     n = len(names)
-    best = np.zeros(n, dtype=np.uint64)
     sizes = np.diff(np.r_[starts, n])
     first = np.repeat(starts, sizes)          # of each word's document
     past = np.repeat(starts + sizes, sizes)
+    # best[k][i]: of the symbols that all windows from i to i + 2**k - 1 hold
+    best = [np.zeros(n, dtype=np.uint64) for _ in range(window.bit_length())]
+    exponent = np.array([max(x, 1).bit_length() - 1 for x in range(window + 1)])
 
     def consider(name, s, e, ds, de):
         inside = np.flatnonzero((ds >= first[s]) & (de <= past[s]) & (de - ds <= window))
-        name, s, e = name[inside], s[inside], e[inside]
-        low = np.maximum(de[inside] - window, first[s])
-        high = np.minimum(ds[inside], past[s] - window)
-        rank = ((e - s).astype(np.uint64) << np.uint64(58)) | (name >> np.uint64(6))
-        for step in range(window):
-            some = low + step <= high
-            if not some.any():
-                break
-            np.maximum.at(best, low[some] + step, rank[some])
+        s, e, de = s[inside], e[inside], de[inside]
+        low, high = np.maximum(de - window, first[s]), np.minimum(ds[inside], past[s] - window)
+        rank = ((e - s).astype(np.uint64) << np.uint64(58)) | (name[inside] >> np.uint64(6))
+        fits = low <= high
+        low, high, rank = low[fits], high[fits], rank[fits]
+        power = exponent[high - low + 1]
+        for k, at_k in enumerate(best):  # two blocks of 2**k windows cover all from low to high
+            some = np.flatnonzero(power == k)
+            if len(some):
+                np.maximum.at(at_k, low[some], rank[some])
+                if k:
+                    np.maximum.at(at_k, high[some] - (1 << k) + 1, rank[some])
 
     def beside(ds, de, joined):
         """What the next and the previous symbol depend on; past the end of a
@@ -123,7 +129,11 @@ def window_anchors(names: np.ndarray, starts: np.ndarray, window: int = WINDOW)
         many = count > 1
         name = np.where(many, _mix(name[heads] + count.astype(np.uint64), 1000 + level), name[heads])
         consider(name[many], s[many], e[many], ds[many], de[many])
-    return best
+    for k in range(len(best) - 1, 0, -1):
+        half = 1 << (k - 1)
+        np.maximum(best[k - 1], best[k], out=best[k - 1])
+        np.maximum(best[k - 1][half:], best[k][:-half], out=best[k - 1][half:])
+    return best[0]
 
 
 _RANDOM = np.random.default_rng(20240229)
@@ -131,17 +141,33 @@ _FACTORS = _RANDOM.integers(0, 1 << 63, (2, 64), dtype=np.uint64) * np.uint64(2)
 
 
 def window_hashes(names: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each window of one document."""
+    """Two independent 64-bit hashes of each window of ``names``."""
     n = len(names) - window + 1
-    out = []
+    high, part, out = names >> np.uint64(32), np.empty(n, dtype=np.uint64), []
     for factors in _FACTORS:
         h = np.zeros(n, dtype=np.uint64)
         for k in range(window):
-            h += names[k:k + n] * factors[k] ^ (names[k:k + n] >> np.uint64(32))
+            np.multiply(names[k:k + n], factors[k], out=part)
+            part ^= high[k:k + n]
+            h += part
         out.append(_mix(h, 77))
     return out[0], out[1]
 
 
+def in_chunks(named: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """(which, their names one after the other, starts, lengths) of documents,
+    in chunks that a processor's cache holds; a longer document is alone."""
+    at = 0
+    while at < len(named):
+        stop, size = at, 0
+        while stop < len(named) and (stop == at or size + len(named[stop]) <= WORDS_AT_A_TIME):
+            size += len(named[stop])
+            stop += 1
+        lengths = np.array([len(x) for x in named[at:stop]])
+        yield range(at, stop), np.concatenate(named[at:stop]), np.r_[0, np.cumsum(lengths)[:-1]], lengths
+        at = stop
+
+
 def covered_words(hit: np.ndarray, n_words: int, window: int = WINDOW) -> np.ndarray:
     """Which words lie in a window that starts at a position of ``hit``."""
     edge = np.zeros(n_words + 1, dtype=np.int64)
@@ -165,16 +191,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
             yield group
 
 
-def _parsed(group: list[tuple], window: int):
-    """(row, words' names, anchors) of each document with a whole window."""
+def _parsed(group: list[tuple], window: int, hashed: bool = False) -> list[tuple]:
+    """(row, anchors) of each document with a whole window; with ``hashed``
+    the two hashes of its windows, too."""
     named = [(row, word_names(row[2])[1]) for row in group]
     named = [(row, x) for row, x in named if len(x) >= window]
-    if not named:
-        return []
-    lengths = np.array([len(x) for _, x in named])
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
-    best = window_anchors(np.concatenate([x for _, x in named]), starts, window)
-    return [(row, x, best[a:a + k - window + 1]) for (row, x), a, k in zip(named, starts, lengths)]
+    out = []
+    for which, names, starts, lengths in in_chunks([x for _, x in named]):
+        found = [window_anchors(names, starts, window), *(window_hashes(names, window) if hashed else ())]
+        out += [(named[i][0], *[x[a:a + k - window + 1] for x in found]) for i, a, k in zip(which, starts, lengths)]
+    return out
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -189,11 +215,11 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
             parsed = _parsed(group, window)
             if not parsed:
                 continue
-            own = [np.unique(best) for _, _, best in parsed]
+            own = [np.unique(best) for _, best in parsed]
             sizes = [len(x) for x in own]
             name = np.concatenate(own)
-            order_of = np.repeat(np.array([r[0] for r, _, _ in parsed], dtype=np.int64), sizes)
-            key = np.repeat(np.array([r[1] for r, _, _ in parsed], dtype=np.int64), sizes)
+            order_of = np.repeat(np.array([r[0] for r, _ in parsed], dtype=np.int64), sizes)
+            key = np.repeat(np.array([r[1] for r, _ in parsed], dtype=np.int64), sizes)
             order = np.lexsort((key, name))
             by_name, by_key = name[order], key[order]
             heads = np.flatnonzero(np.r_[True, by_name[1:] != by_name[:-1]])
@@ -221,12 +247,11 @@ def earlier_windows(docs: DataFrame, window: int) -> DataFrame:
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _texts(batches):
             parts = []
-            for row, names, best in _parsed(group, window):
+            for row, best, h, g in _parsed(group, window, hashed=True):
                 alive = np.isin(best, np.array(row[3], dtype=np.int64).view(np.uint64))
                 if alive.any():
-                    h, g = (x[alive] for x in window_hashes(names, window))
-                    h, at = np.unique(h, return_index=True)
-                    parts.append((h, g[at], np.full(len(h), row[0], dtype=np.int64), np.full(len(h), row[1], dtype=np.int64)))
+                    h, at = np.unique(h[alive], return_index=True)
+                    parts.append((h, g[alive][at], np.full(len(h), row[0], dtype=np.int64), np.full(len(h), row[1], dtype=np.int64)))
             if not parts:
                 continue
             h, g, order_of, key = (np.concatenate(x) for x in zip(*parts))
@@ -288,13 +313,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     @F.pandas_udf("n_removed long, removed array<array<long>>, sha string")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, found in batches:
-            rows = []
-            for text, hit in zip(texts, found):
-                words, names = word_names(text)
-                gone = covered_words(np.isin(window_hashes(names, window)[0], np.asarray(hit, dtype=np.int64).view(np.uint64)), len(words), window)
-                edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
-                kept = b" ".join(w for w, g in zip(words, gone) if not g)
-                rows.append((int(gone.sum()), edges.reshape(-1, 2).tolist(), hashlib.sha256(kept).hexdigest()))
+            rows, given = [], [word_names(text) for text in texts]
+            for which, names, starts, lengths in in_chunks([x for _, x in given]):
+                h = window_hashes(names, window)[0]
+                for i, a, k in zip(which, starts, lengths):
+                    hit = np.isin(h[a:a + k - window + 1], np.asarray(found.iloc[i], dtype=np.int64).view(np.uint64))
+                    gone = covered_words(hit, k, window)
+                    edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
+                    kept = b" ".join(w for w, g in zip(given[i][0], gone) if not g)
+                    rows.append((int(gone.sum()), edges.reshape(-1, 2).tolist(), hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_removed", "removed", "sha"])
 
     cuts = (candidates.select("ord", "key", "text").join(hits, ["ord", "key"])
