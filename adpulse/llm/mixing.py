@@ -99,17 +99,15 @@ def mix_sources(df: DataFrame, size: Column | None = None, id_col: str = "doc_id
 
 def mixed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     seed: int = 23) -> DataFrame:
-    """The mix itself, with the columns of ``df``: a row for each epoch of a
-    document that the mix takes. The one document per source at which the
-    budget ends keeps its text as it stands up to its last word within the
-    budget. A document without words takes no budget and stays once."""
+    """The mix itself, with the columns of ``df``: a row, unchanged, for each
+    epoch of a document that the mix takes. The one document per source at
+    which the budget ends is taken whole if at least half of it lies within,
+    else left out, so a source's words come within half a document of its
+    budget. A document without words takes no budget and stays once; a null
+    text is one. Repeated rows are rows like any other, a null source is a
+    source of its own, and an empty table gives an empty result."""
     mixed = _mixed(df, None, id_col, text_col, source_col, seed)
-    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1)
-    mixed = mixed.withColumns({"whole": whole, "rest": F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)})
-    copies = F.col("whole") + (F.col("rest") > 0).cast("long")
-    text = F.col("row")[text_col]
-    spaced = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    cut = F.array_join(F.slice(spaced, F.lit(1), F.col("rest").cast("int")), "")
-    out = mixed.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-    taken = F.when(F.col("copy") > F.col("whole"), cut).otherwise(text)
-    return out.select(*[(taken if c == text_col else F.col("row")[c]).alias(c) for c in df.columns])
+    whole, rest = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
+    copies = F.when(F.col("size") > 0, whole + (2 * rest >= F.col("size")).cast("long")).otherwise(1).cast("long")
+    out = mixed.select("row", copies.alias("copies")).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return out.select(*[F.col("row")[c].alias(c) for c in df.columns])

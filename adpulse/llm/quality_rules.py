@@ -1,8 +1,10 @@
 """Quality rules whose thresholds adapt to language and source.
 
 Each text has a few counts. Their rates feed a mergeable quantile sketch per
-(language, source); sketches of small groups are replaced by their language's
-merged sketch, or by that of all rows. A rate is out of line if it lies beyond
+(language, source). The quartiles of a group of n rows are weighed n to
+PRIOR_ROWS against those of its language, and these in the same way against
+those of all rows: a small group leans on the larger ones, and nothing jumps
+as it grows. A rate is out of line if it lies beyond
 the quartiles of its group by three times their distance, or by three times a
 least distance where a group hardly varies. The thresholds, one row per group,
 are joined to the rows.
@@ -18,7 +20,7 @@ from adpulse.llm.common import WORD, let, packed, quoted, small, stored, unpacke
 SYMBOL = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MOST_REPEATED = 50      # percent of the words
-LEAST_ROWS = 100        # a group with fewer takes the sketch one level up
+PRIOR_ROWS = 100        # weight, in rows, of the quartiles one level up
 SKETCH_SIZE = 2000      # KLL parameter k: rank error about 0.1 %
 FENCE = 3.0
 # Rates of a text (numerator, denominator) and the least distance of their quartiles.
@@ -99,8 +101,12 @@ def thresholds(rows: DataFrame) -> DataFrame:
     levels = keyed.join(by_lang, "lang_key").join(overall, "any")
     out = []
     for name, (_, _, least) in RATES.items():
-        sketch = F.when(F.col("n") >= LEAST_ROWS, F.col(name)).when(F.col("n_lang") >= LEAST_ROWS, F.col(name + "_lang")).otherwise(F.col(name + "_all"))
-        q1, q3 = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
+        def quartile(q):
+            own, lang, every = (F.kll_sketch_get_quantile_double(F.col(name + level), F.lit(q)) for level in ("", "_lang", "_all"))
+            above = (F.col("n_lang") * lang + PRIOR_ROWS * every) / (F.col("n_lang") + PRIOR_ROWS)
+            return (F.col("n") * own + PRIOR_ROWS * above) / (F.col("n") + PRIOR_ROWS)
+
+        q1, q3 = quartile(0.25), quartile(0.75)
         spread = F.greatest(q3 - q1, F.lit(least))
         out += [(q1 - FENCE * spread).alias(name + "_low"), (q3 + FENCE * spread).alias(name + "_high")]
     return levels.select("lang", "source", *out)

@@ -47,13 +47,22 @@ def test_same_mix_however_partitioned(odd):
     assert mix(1) == mix(7)
 
 
+def near_budgets(rows, out):
+    """Whole documents only, and each source within half a document of its words."""
+    assert Counter((r.doc_id, r.text) for r in out).keys() <= {(r.doc_id, r.text) for r in rows}
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        got = sum(len(words(r.text)) for r in out if r.source == source)
+        assert abs(got - sum(r.taken for r in own)) <= max(r["size"] for r in own) / 2
+
+
 def test_documents_of_the_mix(odd):
     rows = mixing.mix_sources(odd).collect()
     out = mixing.mixed_documents(odd)
     assert out.columns == odd.columns
     got = out.collect()
-    assert sum(len(words(r.text)) for r in got) == sum(r.taken for r in rows)
-    assert sum(not words(r.text) for r in got) == sum(r.size == 0 for r in rows)
+    near_budgets(rows, got)
+    assert sum(not words(r.text) for r in got) == sum(r["size"] == 0 for r in rows)
     assert {r["size"] for r in got} == {"in"}  # the input's own column
 
 
@@ -63,11 +72,10 @@ def test_empty_tables_and_texts(spark, none):
     assert [(r.size, r.taken, r.target) for r in mixing.mix_sources(blank).collect()] == [(0, 0, 0.0)] * 2
 
 
-def test_documents_keep_their_spacing(spark):
+def test_documents_stay_as_they_are(spark):
     text = " one\ttwo\n\n  three   four\nfive "
     rows = [(i, text, s) for s in ("a", "b", "c") for i in range(5)]
-    out = mixing.mixed_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    cut = [r.text for r in out if r.text != text]
-    assert cut and all(text.startswith(t) and t.split() for t in cut)
-    assert sum(len(words(r.text)) for r in out) == sum(r.taken for r in mixing.mix_sources(
-        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mixed_documents(df).collect()
+    assert {r.text for r in out} == {text}
+    near_budgets(mixing.mix_sources(df).collect(), out)

@@ -29,7 +29,8 @@ def test_counts_of_odd_rows(odd):
 
 def test_thresholds_follow_each_group(spark):
     """What is usual in one source is out of line in another; the verdict is
-    that of exact quartiles, as sketches of small groups are exact."""
+    that of exact quartiles, as sketches of small groups are exact, weighed
+    by rows against those of the language and of all rows."""
     rng = np.random.default_rng(5)
     rows = []
     for source, share in (("prose", 0.0), ("code", 0.3), (None, 0.1)):
@@ -40,9 +41,11 @@ def test_thresholds_follow_each_group(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
     out = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
     rate = {i: counts(t)[2] / counts(t)[1] for i, t, _, _ in rows}
+    prior, every = quality_rules.PRIOR_ROWS, np.quantile(list(rate.values()), [0.25, 0.75], method="inverted_cdf")
     for source in ("prose", "code", None):
         ids = [i for i, _, _, s in rows if s == source]
-        q1, q3 = np.quantile([rate[i] for i in ids], [0.25, 0.75], method="inverted_cdf")
+        own = np.quantile([rate[i] for i in ids], [0.25, 0.75], method="inverted_cdf")  # one language: above are all rows
+        q1, q3 = (len(ids) * own + prior * every) / (len(ids) + prior)
         spread = max(q3 - q1, 0.01)
         for i in ids:
             if abs(rate[i] - (q3 + 3 * spread)) > 0.01 and abs(rate[i] - (q1 - 3 * spread)) > 0.01:
@@ -51,7 +54,7 @@ def test_thresholds_follow_each_group(spark):
     assert sum(out[i].kept for i in range(450)) >= 445
 
 
-def test_small_groups_take_the_merged_sketch(spark):
+def test_small_groups_lean_on_the_merged_sketches(spark):
     rows = [(k, " ".join(f"w{k}x{i}" for i in range(60)), "en", f"s{k}") for k in range(120)] + [(500, " ".join(f"#{i}" for i in range(60)), "de", "alone")]
     out = {r.doc_id: r.kept for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert all(out[k] for k in range(120)) and not out[500]
