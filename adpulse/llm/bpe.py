@@ -15,6 +15,14 @@ non-overlapping occurrence of the minimum-rank pair at once, from the left.
 That is the same result as long as the new token can form no pair of lower
 rank; where some token of lower rank begins or ends with it, only the leftmost
 occurrence is contracted.
+
+A piece of more than 512 bytes is cut into blocks, which are contracted like
+pieces. Tokens in a row are what contraction gives if every two neighbours,
+contracted again, stay as they are; so only the seams between blocks are
+tried. Where one does not hold, the tokens around it are contracted again;
+where that does not help either, the block behind it is, together with the
+tokens before it, from the left to the right. Rounds and memory of a query
+thus do not grow with the piece.
 """
 
 from __future__ import annotations
@@ -32,9 +40,12 @@ from pyspark.sql import functions as F
 from adpulse.llm.common import packed, quoted, ship, unpacked
 
 LONG_PIECE = 64          # bytes
+BLOCK = 512              # bytes of a block of a longer piece
+AROUND = 8               # tokens on each side of a seam that are contracted again
 TEXT_AT_ONCE = 1 << 21   # characters of texts that are cut before a query
 PIECES_AT_ONCE = 400_000
 WORDS_AT_ONCE = 50_000   # pieces of one query
+BLOCKS_AT_ONCE = 256     # blocks of one query
 REMEMBERED = 120_000     # pieces of a generation; a process keeps the ids of two
 TOKENS_AT_ONCE = 1 << 18
 
@@ -77,7 +88,8 @@ LONG = """
 
 DECODE = """
     SELECT text, list_aggregate(list_transform(ids, lambda i: pieces[i + 1]), 'string_agg', '') AS decoded
-    FROM encoded, (SELECT list(piece ORDER BY id) AS pieces FROM vocabulary) ORDER BY text"""
+    FROM encoded, (SELECT list(piece ORDER BY i) AS pieces
+                   FROM range((SELECT max(id) + 1 FROM vocabulary)) r(i) LEFT JOIN vocabulary v ON v.id = r.i) ORDER BY text"""
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -113,6 +125,7 @@ class Codec:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.seams: dict[tuple[int, int], bool] = {}
 
     def _table(self, name: str, **columns) -> None:
         import pyarrow as pa
@@ -156,6 +169,69 @@ class Codec:
         ids = toks.values.to_numpy().astype("<u4")
         return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
 
+    @cached_property
+    def tokens(self) -> dict[int, bytes]:
+        return {rank: token for token, rank in self.ranks.items()}
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.tokens[i] for i in ids.tolist())
+
+    def _contracted(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of words of a block or so, equal ones once."""
+        found: dict[bytes, np.ndarray] = {}
+        for sql, own in ((SHORT, lambda w: len(w) <= LONG_PIECE), (LONG, lambda w: len(w) > LONG_PIECE)):
+            some = [w for w in dict.fromkeys(words) if own(w)]
+            for at in range(0, len(some), BLOCKS_AT_ONCE):
+                part = some[at:at + BLOCKS_AT_ONCE]
+                found.update(zip(part, (np.frombuffer(ids, dtype="<u4") for ids in self._merge(sql, part))))
+        return [found[w] for w in words]
+
+    def _hold(self, pairs: list[tuple[int, int]]) -> list[bool]:
+        """Whether two neighbouring tokens, contracted again, stay as they are."""
+        new = [p for p in dict.fromkeys(pairs) if p not in self.seams]
+        if len(self.seams) > REMEMBERED:
+            self.seams = {}
+            new = list(dict.fromkeys(pairs))
+        for (a, b), ids in zip(new, self._contracted([self.tokens[a] + self.tokens[b] for a, b in new])):
+            self.seams[a, b] = ids.tolist() == [a, b]
+        return [self.seams[p] for p in pairs]
+
+    def _blocks(self, raw: bytes) -> bytes:
+        """Packed ids of a piece that is longer than a block."""
+        parts = self._contracted([raw[k:k + BLOCK] for k in range(0, len(raw), BLOCK)])
+        hold = self._hold([(int(a[-1]), int(b[0])) for a, b in zip(parts, parts[1:])])
+        # around each seam that does not hold: of two near seams every other one at a time
+        for odd in (0, 1):
+            open_seams = [k for k, ok in enumerate(hold) if not ok and k % 2 == odd]
+            zones = [(k, min(AROUND, len(parts[k]) - 1), min(AROUND, len(parts[k + 1]) - 1)) for k in open_seams]
+            zones = [(k, i, j) for k, i, j in zones if i > 0 and j > 0]
+            again = self._contracted([self._bytes(np.concatenate([parts[k][-i:], parts[k + 1][:j]])) for k, i, j in zones])
+            outer = self._hold([(int(parts[k][-i - 1]), int(z[0])) for (k, i, _), z in zip(zones, again)])
+            inner = self._hold([(int(z[-1]), int(parts[k + 1][j])) for (k, _, j), z in zip(zones, again)])
+            for (k, i, j), zone, a, b in zip(zones, again, outer, inner):
+                if a and b:
+                    parts[k], parts[k + 1], hold[k] = np.concatenate([parts[k][:-i], zone]), parts[k + 1][j:], True
+        out = [parts[0]]
+        for k, part in enumerate(parts[1:]):
+            last = out[-1]
+            if not hold[k] or not self._hold([(int(last[-1]), int(part[0]))])[0]:
+                kept = max(0, len(last) - AROUND)
+                while True:  # the tail of what is done and the whole next block, until the seam before them holds
+                    redone = self._contracted([self._bytes(np.concatenate([last[kept:], part]))])[0]
+                    if kept == 0 and len(out) > 1:
+                        out.pop()
+                        last = np.concatenate([out[-1], last])
+                        kept = max(0, len(out[-1]) - AROUND)
+                    elif kept == 0 or self._hold([(int(last[kept - 1]), int(redone[0]))])[0]:
+                        break
+                    else:
+                        kept = max(0, kept - AROUND)
+                out[-1], part = last[:kept], redone
+                if not kept:
+                    out.pop()
+            out.append(part)
+        return np.concatenate(out).astype("<u4").tobytes()
+
     def learn(self, pieces: Iterable[str]) -> None:
         """Ids of the pieces that are not known yet."""
         if len(self.known) > REMEMBERED:
@@ -168,6 +244,8 @@ class Codec:
             raw = piece.encode()
             if raw in self.ranks:
                 self.known[piece] = self.ranks[raw].to_bytes(4, "little")
+            elif len(raw) > BLOCK:
+                self.known[piece] = self._blocks(raw)
             else:
                 (short if len(raw) <= LONG_PIECE else long).append((piece, raw))
         for sql, some in ((SHORT, short), (LONG, long)):
@@ -233,8 +311,9 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text_col: str = "text
     unsigned 32-bit ids) and ``n_tokens``.
 
     A null text counts as empty and an empty text has no ids. Texts of any
-    length are encoded whole. Input columns that have an output's name give
-    way to it.
+    length are encoded whole, pieces of any length in blocks. Repeated rows
+    each get their ids; an empty table stays empty with the two columns. Input
+    columns that have an output's name give way to it.
     """
     @F.pandas_udf("binary")
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -248,8 +327,9 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text_col: str = "text
 
 
 def decode(df: DataFrame, vocabulary: bytes, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """All rows and columns of ``df`` with ``decoded`` (binary); null ids
-    decode to nothing."""
+    """All rows and columns of ``df`` with ``decoded`` (binary); null and empty
+    ids decode to nothing. Repeated rows are decoded each, an empty table stays
+    empty, and an input column ``decoded`` gives way."""
     @F.pandas_udf("binary")
     def bytes_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = codec(vocabulary, pattern)
@@ -263,8 +343,9 @@ def decode(df: DataFrame, vocabulary: bytes, pattern: str, ids_col: str = "ids")
 
 def encode_and_decode(df: DataFrame, vocabulary: bytes, pattern: str, text_col: str = "text") -> DataFrame:
     """``encode`` and ``decode`` in one pass: all rows and columns of ``df``
-    with ``ids``, ``n_tokens`` and ``decoded``. Nothing is written between the
-    two, and a task needs one Python worker."""
+    with ``ids``, ``n_tokens`` and ``decoded``; nulls, empty and long texts,
+    repeated rows, empty tables and clashing names as there. Nothing is written
+    between the two, and a task needs one Python worker."""
     ship(df.sparkSession)
 
     @F.pandas_udf("ids binary, decoded binary")

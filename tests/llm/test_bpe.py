@@ -46,6 +46,36 @@ def test_a_text_beyond_one_batch(content, reference, monkeypatch):
     assert ids == [reference(t) for t in texts] and codec.decode(ids) == [t.encode() for t in texts]
 
 
+def long_pieces(letters=3000):
+    rng = random.Random(6)
+    yield from ("x" * 4001, "e" * 4999, "abc" * 1501, "haha" * 999, "the" * 1777, "日本" * 700, "=-" * 1500, " " * 3333, "0" * 3001, "-" * 2999)
+    for signs in ("abcdefghijklmnopqrstuvwxyz", "etaoin", "ab", "éèaβ"):
+        yield "".join(rng.choice(signs) for _ in range(letters))
+
+
+@pytest.mark.parametrize("block, around", [(512, 8), (30, 2), (7, 1)])
+def test_long_pieces_in_blocks(content, reference, monkeypatch, block, around):
+    """Small blocks and zones leave many seams to the way from left to right."""
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    monkeypatch.setattr(bpe, "AROUND", around)
+    codec = bpe.Codec(content, public_tokenizers.PATTERN)
+    texts = list(long_pieces(3000 if block > 100 else 300))
+    ids = codec.encode(texts)
+    assert [t[:20] for t, got in zip(texts, ids) if got != reference(t)] == [] and codec.decode(ids) == [t.encode() for t in texts]
+
+
+def test_pieces_of_millions(content, reference):
+    codec = bpe.Codec(content, public_tokenizers.PATTERN)
+    rng = random.Random(7)
+    for text in ("x" * 4_000_000, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))):
+        assert codec.encode([text]) == [reference(text)]
+
+
+def test_ids_with_gaps_decode():
+    codec = bpe.Codec(b"YQ== 3\nYg== 7\nYWI= 9\n", ".")
+    assert codec.decode([struct.pack("<3I", 3, 9, 7), b""]) == [b"aabb", b""]
+
+
 def test_leftmost_rank_that_a_merge_may_lower():
     """A merge whose token begins one of lower rank is contracted one by one."""
     ranks = {bytes([b]): b for b in range(256)} | {b"aba": 256, b"ab": 257}
