@@ -31,38 +31,51 @@ FIELD_TYPES = {name: ("string", "^STRING$") for name in IMPRESSION_FIELDS}
 FIELD_TYPES |= {"timestamp": ("bigint", "^(TINYINT|SMALLINT|INT|BIGINT)$"), "bid": ("double", _NUMBER)}
 
 
-def _parsed(messages: DataFrame, value_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """keep, _value, the seven fields and ``reject_reason``.
+# A message as producers write it: the seven fields in order, strings without
+# escapes, numbers that their types hold. Such a message is well formed.
+_SHAPES = {"string": r'"[^"\\\x00-\x1f]*"', "bigint": r"-?(?:0|[1-9]\d{0,17})", "double": r"-?(?:0|[1-9]\d{0,15})(?:\.\d{1,17})?"}
+USUAL = r"^\{" + ",".join(f'"{name}":{_SHAPES[FIELD_TYPES[name][0]]}' for name in IMPRESSION_FIELDS) + r"\}\z"
 
-    The message is parsed once, to a variant, which passes a one-element
-    ``explode``: a generated column is a barrier for the optimizer, so the
-    parse is not repeated for each field that is read from it.
-    """
-    src = messages.withColumnRenamed(value_col, VALUE_ALIAS) if value_col != VALUE_ALIAS else messages
-    once = src.select(*keep, VALUE_ALIAS, F.explode(F.array(F.try_parse_json(VALUE_ALIAS))).alias("_v"))
-    fields = once.select(*keep, VALUE_ALIAS, F.explode(F.array(F.struct(
-        F.schema_of_variant("_v").startswith("OBJECT").alias("_object"),
-        *[F.try_variant_get("_v", f"$.{name}", kind).alias(name) for name, (kind, _) in FIELD_TYPES.items()],
-        *[F.schema_of_variant(F.try_variant_get("_v", f"$.{name}", "variant")).alias(f"_type_{name}") for name in FIELD_TYPES],
-    ))).alias("_m"))
-    m = F.col("_m")
-
-    def named(condition):
-        return F.array_join(F.array_compact(F.array(*[
-            F.when(condition(name), F.lit(name)) for name in IMPRESSION_FIELDS])), ",")
 
+def _reason(m: Column, types: Column) -> Column:
+    """What is wrong with a message, field by field; null if nothing is (it may
+    have further fields). ``types``: of the message and of each field."""
     def absent(name):
-        return m[f"_type_{name}"].isNull() | (m[f"_type_{name}"] == "VOID")
+        return types[name].isNull() | (types[name] == "VOID")
 
     def wrong(name):
         # a value that its own type cannot hold, or that is not finite, is wrong, too
         finite = F.abs(m["bid"]) < float("inf") if name == "bid" else m[name].isNotNull()
-        return ~absent(name) & ~(m[f"_type_{name}"].rlike(FIELD_TYPES[name][1]) & F.coalesce(finite, F.lit(False)))
+        return ~absent(name) & ~(types[name].rlike(FIELD_TYPES[name][1]) & F.coalesce(finite, F.lit(False)))
+
+    def named(condition):
+        return F.array_join(F.array_compact(F.array(*[F.when(condition(name), F.lit(name)) for name in IMPRESSION_FIELDS])), ",")
 
-    reason = (F.when(~F.coalesce(m["_object"], F.lit(False)), F.lit("unparseable"))
-              .when(named(wrong) != "", F.concat(F.lit("invalid:"), named(wrong)))
-              .when(named(absent) != "", F.concat(F.lit("missing:"), named(absent))))
-    return fields.select(*keep, VALUE_ALIAS, "_m", reason.alias("reject_reason"))
+    lists = F.array(F.struct(named(wrong).alias("wrong"), named(absent).alias("absent")))
+    return F.when(~F.coalesce(types["_message"].startswith("OBJECT"), F.lit(False)), F.lit("unparseable")).otherwise(
+        F.transform(lists, lambda x: F.when(x["wrong"] != "", F.concat(F.lit("invalid:"), x["wrong"]))
+                    .when(x["absent"] != "", F.concat(F.lit("missing:"), x["absent"])))[0])
+
+
+def _parsed(messages: DataFrame, value_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """keep, _value, the seven fields and ``reject_reason``.
+
+    A message of the usual shape is well formed and is parsed to its fields at
+    once; any other is parsed to a variant and looked at field by field. Each
+    parse passes a one-element ``explode``: a generated column is a barrier for
+    the optimizer, so it is not repeated for each field that is read from it.
+    """
+    src = messages.withColumnRenamed(value_col, VALUE_ALIAS) if value_col != VALUE_ALIAS else messages
+    text, schema = F.col(VALUE_ALIAS), ", ".join(f"{name} {kind}" for name, (kind, _) in FIELD_TYPES.items())
+    once = src.select(*keep, VALUE_ALIAS, F.explode(F.transform(F.array(text.rlike(USUAL)), lambda usual: F.struct(
+        F.when(usual, F.from_json(text, schema)).alias("fields"), F.when(~usual, F.try_parse_json(text)).alias("v")))).alias("_p"))
+    v, usual = F.col("_p.v"), F.col("_p.fields")
+    looked_up = F.struct(*[F.try_variant_get(v, f"$.{name}", kind).alias(name) for name, (kind, _) in FIELD_TYPES.items()])
+    types = F.struct(F.schema_of_variant(v).alias("_message"), *[F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant")).alias(name) for name in FIELD_TYPES])
+    fields = once.select(*keep, VALUE_ALIAS, F.explode(F.array(F.struct(
+        F.coalesce(usual, looked_up).alias("m"), F.when(usual.isNull(), types).alias("types")))).alias("_f"))
+    m, types = F.col("_f.m"), F.col("_f.types")
+    return fields.select(*keep, VALUE_ALIAS, m.alias("_m"), F.when(types.isNotNull(), _reason(m, types)).alias("reject_reason"))
 
 
 def decode_strict(messages: DataFrame, value_col: str = "value",

@@ -28,7 +28,7 @@ def test_batch_query_matches_oracle(spark, con, name):
     assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
 
 
-@pytest.mark.parametrize("name", ["stream_job_metrics", "stream_arrival_totals", "stream_watermark"])
+@pytest.mark.parametrize("name", ["stream_job_metrics", "stream_distinct", "stream_progress", "stream_group_count_filled"])
 def test_stream_query_matches_oracle(spark, con, name):
     r = compare(name, spark, con, SF_SMALL, entry.queries(), entry.oracle_sql())
     assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r
