@@ -123,9 +123,11 @@ def _seconds(ntz: str) -> Column:
 
 
 def _by_key(partials: DataFrame) -> DataFrame:
-    """One row per (window, publisher, geo); ``v`` is the batch that opened it."""
+    """One row per (window, publisher, geo), of the same types; ``v`` is the
+    batch that opened it."""
+    bids = partials.schema["sum_bids"].dataType  # sums of decimals have more digits
     return partials.groupBy("window", *agg.KEYS).agg(
-        F.min("first_ts").alias("first_ts"), F.sum("sum_bids").alias("sum_bids"), F.sum("imps").alias("imps"),
+        F.min("first_ts").alias("first_ts"), F.sum("sum_bids").cast(bids).alias("sum_bids"), F.sum("imps").alias("imps"),
         F.hll_union_agg("uniques_sketch").alias("uniques_sketch"), F.min("v").alias("v"))
 
 

@@ -104,7 +104,7 @@ def test_a_batch_reads_what_it_touches(spark):
     for k in range(n):
         live_messages(spark, 10 * k, 6).write.mode("append").text(f"{folder}/in")
     source = message_stream(spark, "text", f"{folder}/in", batch_limit=1)
-    query = jobs.start_impression_job(spark, source, f"{folder}/job", "1 second", "10 seconds", trigger=ONCE, time_mode="event", levels={"fanout": 3})
+    query = jobs.start_impression_job(spark, source, f"{folder}/job", "1 second", "10 seconds", trigger=ONCE, time_mode="event", bid_type=EXACT_BID_TYPE, levels={"fanout": 3})
     query.awaitTermination()
     levels = jobs.job_levels(spark, f"{folder}/job")
     manifests = [Manifest.of(levels.folder.read(f"manifest/{name}")) for name in levels.folder.names("manifest")]
