@@ -32,14 +32,13 @@ def stream_plan(spark) -> list[str]:
 
     from adpulse.operators import aggregate as agg
     from adpulse.plans.catalog import COARSE, FINE
-    from adpulse.plans.streams import messages
-    from adpulse.session import work_dir
+    from adpulse.plans.streams import closed_partials
     from adpulse.streaming import jobs
 
-    d = work_dir(spark, "plan")
-    fine = jobs.fine_stream(jobs.impression_stream(messages(spark, "/root/testdata/sf0.001")), FINE)
-    q = (agg.finalise(jobs.coarse_stream(fine, COARSE, FINE)).writeStream.format("noop")
-         .option("checkpointLocation", f"{d}/ck").trigger(availableNow=True).start())
+    topic, fine = closed_partials(spark, "/root/testdata/sf0.001", "plan")
+    with jobs.stateful(spark):
+        q = (agg.finalise(jobs.coarse_stream(fine, COARSE, FINE)).writeStream.format("noop")
+             .option("checkpointLocation", f"{topic}-ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
