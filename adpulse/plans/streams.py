@@ -16,7 +16,7 @@ from adpulse.operators import aggregate as agg
 from adpulse.operators import metrics as met
 from adpulse.functions.columns import ntz_from_millis
 from adpulse.plans.catalog import COARSE, FINE, GAP_WINDOW
-from adpulse.session import materialize, work_dir
+from adpulse.session import work_dir
 from adpulse.sources import codec
 from adpulse.sources.impressions import impression_columns
 from adpulse.sources.tables import read_table
@@ -29,28 +29,39 @@ WINDOW_TARGETS = (TARGET_PUB_GEO_COUNT, TARGET_GEO_IMPS, TARGET_GEO_AVG_BIDS)
 SLICES = 5  # micro-batches that a query's input makes at least
 
 
-def messages(spark: SparkSession, base: str) -> DataFrame:
-    """``events`` as messages (key, value, arrival): a third of them arrive an
-    hour after the event, a third two hours after it."""
-    events = read_table(spark, base, "events")
+def arrivals(spark: SparkSession, base: str) -> DataFrame:
+    """What messages are made of: the columns of ``events`` that impressions
+    read, dealt evenly to all cores however the table is split, with the key
+    and the arrival of the message. A third of them arrive an hour after the
+    event, a third two hours after it."""
+    events = read_table(spark, base, "events").select("event_id", "ts", "user_id", "value", "props")
     delay = F.make_dt_interval(hours=(F.col("event_id") % 3).cast("int"))
-    rows = events.select(F.col("event_id").cast("string").alias("key"), (F.col("ts") + delay).cast("timestamp").alias("arrival"),
-                         *impression_columns())
-    return codec.encode_messages(rows, keep=("key", "arrival"))
+    return events.repartition(spark.sparkContext.defaultParallelism).withColumns(
+        {"key": F.col("event_id").cast("string"), "arrival": (F.col("ts") + delay).cast("timestamp")})
 
 
-def publish(given: DataFrame, topic: str, order: Column | None = None, slices: int = SLICES) -> str:
-    """Append messages to a topic (a folder of files here) in ``slices`` steps
-    of equal length by ``order``, the arrival unless given."""
-    at = F.unix_micros("arrival") if order is None else order
-    given = materialize(given.withColumn("_at", at))
-    low, high = given.agg(F.min("_at"), F.max("_at")).first()
+def messages(arrived: DataFrame) -> DataFrame:
+    """Arrivals as messages (key, value, arrival)."""
+    return codec.encode_messages(arrived.select("key", "arrival", *impression_columns()), keep=("key", "arrival"))
+
+
+def publish(arrived: DataFrame, topic: str, order: Column | None = None, slices: int = SLICES) -> str:
+    """Append the messages of ``arrived`` to a topic (a folder of files here)
+    in ``slices`` steps of equal length by ``order``, the arrival unless given.
+
+    The rows are staged as they come; a step then encodes its own, so each
+    message is encoded once. Rows dealt evenly give steps whose files hold about
+    the same number of messages, and batches that all cores read."""
+    spark, staged = arrived.sparkSession, f"{topic}-staged"
+    arrived.withColumn("_at", F.unix_micros("arrival") if order is None else order).write.parquet(staged)
+    dealt = spark.read.parquet(staged)
+    low, high = dealt.agg(F.min("_at"), F.max("_at")).first()
     if low is None:
-        given.drop("_at").write.parquet(topic)
+        messages(dealt).write.parquet(topic)
         return topic
     step = F.floor((F.col("_at") - low) * slices / (high - low + 1))
     for k in range(slices):
-        given.where(step == k).drop("_at").write.mode("append").parquet(topic)
+        messages(dealt.where(step == k)).write.mode("append").parquet(topic)
     return topic
 
 
@@ -61,8 +72,8 @@ def consume(spark: SparkSession, topic: str, batches: int = SLICES) -> DataFrame
 
 
 def topic_of(spark: SparkSession, base: str, name: str, only: Column | None = None, **how) -> str:
-    given = messages(spark, base)
-    return publish(given if only is None else given.where(only), f"{work_dir(spark, name)}/topic", **how)
+    arrived = arrivals(spark, base)
+    return publish(arrived if only is None else arrived.where(only), f"{work_dir(spark, name)}/topic", **how)
 
 
 def run(query) -> None:
@@ -188,8 +199,7 @@ def q_stream_sliding(spark, base):
 def q_stream_distinct(spark, base):
     """Every message is sent twice, the second time in a later batch: the store
     is that of one copy."""
-    given = messages(spark, base)
-    twice = given.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1))))
+    twice = arrivals(spark, base).withColumn("again", F.explode(F.array(F.lit(0), F.lit(1))))
     topic = publish(twice, f"{work_dir(spark, 'stream-distinct')}/topic", order=F.unix_micros("arrival") + F.col("again") * 3 * 86_400_000_000)
     run(start(consume(spark, topic), f"{topic}-job", distinct_within="4 days"))
     return jobs.read_store(spark, f"{topic}-job")
