@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from adpulse.plans import streams
 from adpulse.session import work_dir
+from adpulse.streaming import jobs, progress
 
 
 def table_of(spark, name, rows=4000, files=1):
@@ -28,6 +29,16 @@ def test_files_of_a_step_are_even(spark):
     assert all(max(f.high for f in a) < min(f.low for f in b) for a, b in zip(steps, steps[1:]))
 
 
+def test_a_step_is_a_batch_of_the_job(spark):
+    base = table_of(spark, "t-steps", files=7)
+    topic = streams.topic_of(spark, base, "t-steps")
+    progress.logged(spark, f"{topic}-job", lambda: streams.start(streams.consume(spark, topic), f"{topic}-job"))
+    log = progress.read_progress(spark, f"{topic}-job").select("batch", F.col("observed")["ingest.messages"].alias("n")).collect()
+    assert len(log) == streams.SLICES and sum(r.n for r in log) == 4000
+    assert max(r.n for r in log) <= 1.2 * 4000 / streams.SLICES
+    assert jobs.read_partials(spark, f"{topic}-job").agg(F.sum("imps")).first()[0] == 4000
+
+
 def test_rows_without_a_time_are_not_published(spark):
     base = table_of(spark, "t-untimed", 200)
     arrived = streams.arrivals(spark, base).withColumn("arrival", F.when(F.col("event_id") % 10 != 0, F.col("arrival")))
