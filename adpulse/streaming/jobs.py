@@ -110,6 +110,19 @@ def stateful(spark: SparkSession, partitions: int | None = None):
         spark.conf.set(name, saved)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` cached in as many partitions as its rows need, like any other
+    result of adaptive execution, instead of one per shuffle partition. The
+    setting is read when a plan is cached."""
+    conf, name = df.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    saved = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return df.persist()
+    finally:
+        conf.set(name, saved)
+
+
 # -- the production job -----------------------------------------------------------------
 
 COUNTERS = (TARGET_RAW_COUNT, TARGET_PUB_GEO_COUNT, TARGET_STORED_COUNT)
@@ -249,7 +262,7 @@ def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
         fine = fine.withColumn("v", F.lit(manifest.v).cast("bigint"))
         newest = manifest.counters.get("newest")
         if lateness is not None and newest is not None:
-            fine = fine.persist()
+            fine = kept(fine)
             in_time = _seconds("window.end") > newest - duration_seconds(lateness)
             late = tables.write(manifest, "late", fine.where(~in_time), messages=F.sum("imps"))
             manifest.counters["lateCount"] = manifest.counters.get("lateCount", 0) + (late.get("messages") or 0)
@@ -279,7 +292,7 @@ def start_impression_job(spark: SparkSession, messages: DataFrame, root: str,
         touched = own.where(known).select(coarse_start.alias("touched")).distinct()
         between = _seconds("window.start").between(seen["low"] - coarse_s - margin, seen["high"] + coarse_s + margin)
         rows = tables.rows(near, own.schema).where(known & between)
-        fine = _by_key(rows.withColumn("touched", coarse_start).join(touched, "touched", "left_semi").drop("touched")).persist()
+        fine = kept(_by_key(rows.withColumn("touched", coarse_start).join(touched, "touched", "left_semi").drop("touched")))
         at = F.lit(manifest.v).cast("bigint")
         merged = agg.merge_partials(fine, coarse_window, fine_window=fine_window, time_col="window.start",
                                     also={"opened": F.min("v"), "_opened": F.count_if(F.col("v") == at)})

@@ -39,6 +39,28 @@ def test_a_step_is_a_batch_of_the_job(spark):
     assert jobs.read_partials(spark, f"{topic}-job").agg(F.sum("imps")).first()[0] == 4000
 
 
+def test_small_batches_make_small_stages(spark):
+    base = table_of(spark, "t-stages")
+    topic, tracker = streams.topic_of(spark, base, "t-stages"), spark.sparkContext.statusTracker()
+    with jobs.shuffle_partitions(spark, 200):
+        query = streams.start(streams.consume(spark, topic), f"{topic}-job")
+        query.awaitTermination()
+    stages = {s for j in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(j).stageIds}
+    ran = [s.numTasks for s in map(tracker.getStageInfo, stages) if s is not None and s.numCompletedTasks]
+    assert ran and max(ran) < 200  # the merged windows of a batch are cached in few partitions
+    assert jobs.read_partials(spark, f"{topic}-job").agg(F.sum("imps")).first()[0] == 4000
+
+
+def test_caching_leaves_the_session_as_it_was(spark):
+    name = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(name)
+    with jobs.shuffle_partitions(spark, 200):
+        sums = jobs.kept(spark.range(1000).groupBy((F.col("id") % 300).alias("k")).agg(F.sum("id").alias("s")))
+        assert sums.agg(F.sum("s")).first()[0] == 999 * 500 and sums.rdd.getNumPartitions() < 200
+    sums.unpersist()
+    assert spark.conf.get(name) == before
+
+
 def test_rows_without_a_time_are_not_published(spark):
     base = table_of(spark, "t-untimed", 200)
     arrived = streams.arrivals(spark, base).withColumn("arrival", F.when(F.col("event_id") % 10 != 0, F.col("arrival")))
